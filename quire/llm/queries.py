@@ -7,20 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets
+from . import langid, mixing, secrets, simhash
 from .common import table
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.held_out_predictions(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.cluster(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op6_secret_scan": op6_secret_scan,
+    "op7_simhash": op7_simhash,
     "op10_mix_sources": op10_mix_sources,
 }
 
