@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, secrets, simhash
+from . import decontam, langid, mixing, secrets, simhash, urls
 from .common import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.held_out_predictions(table(spark, sf_dir, "documents"))
 
@@ -24,14 +28,21 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge(pages, urls.labels_by_number(pages, table(spark, sf_dir, "labels")))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
     "op6_secret_scan": op6_secret_scan,
     "op7_simhash": op7_simhash,
+    "op9_url_filter": op9_url_filter,
     "op10_mix_sources": op10_mix_sources,
 }
 
