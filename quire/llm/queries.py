@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lines, mixing, secrets, simhash, substrings, urls
+from . import decontam, langid, lines, lm, mixing, secrets, simhash, substrings, urls
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.held_out_predictions(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeats(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
+    "op3_lm_score": op3_lm_score,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_simhash": op7_simhash,
