@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lines, lm, mixing, secrets, simhash, substrings, urls
+from . import ann, decontam, langid, lines, lm, mixing, secrets, simhash, substrings, urls
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.held_out_scores(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeats(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
     "op3_lm_score": op3_lm_score,
+    "op4_nearest": op4_nearest,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_simhash": op7_simhash,
