@@ -202,7 +202,7 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TR
     split = [x for i in np.flatnonzero(parts > 1).tolist() for x in (F.lit(i), F.lit(int(parts[i])))]
     number = F.coalesce(F.try_element_at(F.create_map(*split), F.col("leaf").cast("int")), F.lit(1)) if split else F.lit(1)
     placed = placed.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "vec_id"), number).cast("int"))
-    queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), number - 1)).cast("int"))
+    queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), (number - 1).cast("int"))))
     found = queries.groupBy("leaf", "part").cogroup(placed.groupBy("leaf", "part")).applyInArrow(rank(k), "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
