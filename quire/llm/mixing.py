@@ -66,8 +66,9 @@ def sainte_lague(values: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray
     return got
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, seed: int = 7, block_words: int = 64, shard_words: int = 131_072) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken and n_blocks of every row of docs (doc_id, text, source).
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, seed: int = 7, block_words: int = 64, shard_words: int = 131_072, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken and n_blocks, and the columns named by carry, of every row of docs
+    (doc_id, text, source).
 
     Sources, ordered by code point with null last, take the weights in turn and share all words; a target stops at `cap`
     times the source's size. Each source is dealt into shards by a hash of doc_id, so that no source is ever one task. A
@@ -81,7 +82,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, s
     source has fewer than 256 such blocks.
     """
     spark = docs.sparkSession
-    sized = materialize(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
+    sized = materialize(docs.select("doc_id", "source", *[F.col(c).alias(f"_{c}") for c in carry], F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
     found = sized.groupBy("source").agg(F.sum("size").alias("words")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -138,5 +139,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, s
             "taken",
             F.when((F.col("size") > 0) & (F.col("quota") > 0), F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), lambda acc, k: acc + taken_of(k).cast("long"))).otherwise(F.lit(0)).cast("long"),
         )
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "n_blocks")
+        .select("doc_id", "source", "size", "source_size", "target", "taken", "n_blocks", *[F.col(f"_{c}").alias(c) for c in carry])
     )

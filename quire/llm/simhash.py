@@ -179,6 +179,8 @@ def agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def linked(prints: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
     """Edges (a, b) that span the links among rows (node long, fp long, sketch binary or null) of prints, distinct nodes.
 
+    With a column `table`, each node has a fingerprint for each table, and those of one table are linked.
+
     Each fingerprint enters one trie for each of four bit blocks, rotated so that this block comes first: a link has at
     least one block without error, whose node pairs are those of the top levels with nothing spent. Groups of one block
     value are dealt out over the cluster. A group over large_group is dealt out again by the four blocks of the bits that
@@ -186,7 +188,8 @@ def linked(prints: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
     """
     rotated = lambda i: F.shiftleft("fp", 16 * i).bitwiseOR(F.shiftrightunsigned("fp", 64 - 16 * i)) if i else F.col("fp")
     lanes = F.explode(F.array(*[F.struct(F.lit(i).alias("path"), rotated(i).alias("key")) for i in range(BLOCKS)]))
-    rows = prints.select("node", "sketch", lanes.alias("lane")).select("node", "sketch", "lane.path", "lane.key", F.lit(16).alias("fixed"))
+    lane = F.col("lane.path") + (F.col("table") * 1024 if "table" in prints.columns else 0)
+    rows = prints.select(*prints.columns, lanes.alias("lane")).select("node", "sketch", lane.alias("path"), "lane.key", F.lit(16).alias("fixed"))
     done = None
     for fixed in (16, 28):
         group = F.shiftrightunsigned("key", 64 - fixed)
@@ -227,3 +230,71 @@ def cluster(docs: DataFrame, k: int = 3) -> DataFrame:
     least = joined.join(classes, "component", "left_semi").groupBy("component").agg(F.min("least").alias("component_id"))
     named = joined.join(least, "component").select("fp", "component_id")
     return prints.join(named, "fp", "left").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+#: Independent fingerprints of a text in `near_copies`: a link in any of them makes a pair to verify.
+TABLES = 3
+
+
+def describe(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Of each text: a hash of its words, TABLES fingerprints of its distinct words, and a sketch of its k-word shingles.
+
+    The sketch is a one-permutation minhash: 16 bits of the least hash in each of SKETCH bins, 0 for an empty bin.
+    """
+    nodes, prints, sketches = np.empty(len(texts), np.uint64), np.empty((len(texts), TABLES), np.uint64), []
+    for at, text in enumerate(texts):
+        words = ascii_words(text)
+        nodes[at] = xxhash.xxh3_64_intdigest(b" ".join(words))
+        h = np.array([xxhash.xxh3_64_intdigest(w) for w in set(words)], dtype=np.uint64)
+        for t in range(TABLES):
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+            ones = np.zeros(64, np.int64)
+            for i in range(0, len(h), 1 << 16):
+                ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            prints[at, t] = int.from_bytes(np.packbits(2 * ones > len(h), bitorder="little").tobytes(), "little")
+        s = np.array([xxhash.xxh3_64_intdigest(x) for x in shingles(words, k)], dtype=np.uint64)
+        s = s[np.argsort(s >> np.uint64(8))[::-1]]
+        sketch = np.zeros(SKETCH, np.uint16)
+        sketch[(s & np.uint64(SKETCH - 1)).astype(np.int64)] = ((s >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.uint16) | np.uint16(1)  # the least comes last
+        sketches.append(sketch.tobytes())
+    return nodes, prints, sketches
+
+
+def described(k: int) -> Callable[[Column], Column]:
+    @F.arrow_udf("struct<node:long,prints:array<long>,sketch:binary>")
+    def describer(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            nodes, prints, sketches = describe(texts.to_pylist(), k)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(nodes) * TABLES + 1, TABLES, dtype=np.int32)), pa.array(prints.view(np.int64).ravel()))
+            yield pa.StructArray.from_arrays([pa.array(nodes.view(np.int64)), lists, pa.array(sketches, pa.binary())], ["node", "prints", "sketch"])
+
+    return describer
+
+
+def near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
+    """doc_id of the rows of docs (doc_id, text) that are copies or near copies of a document with a smaller doc_id.
+
+    Texts of the same words, A to Z alike, are one node. A pair of nodes is looked at if the fingerprints of their
+    distinct words differ in 3 bits or fewer in any of TABLES independent hashes, found by the trie self-join, and
+    linked if their k-word shingles have a similarity of 0.8 or more by a sketch of 128 values (exact for sets that leave no two
+    shingles in one bin, else with a standard error of 0.035). Of each connected group the least doc_id stays.
+
+    Texts without words, null ones too, are copies of each other. Rows of one doc_id are one document and stay or go together; a
+    null doc_id is greater than any other. Other columns are not looked at. No rows: no rows.
+    """
+    found = docs.select("doc_id", described(k)("text").alias("d"))
+    found = materialize(found.select("doc_id", "d.node", "d.prints", "d.sketch"), "near-prints")
+    nodes = found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("prints").alias("prints"), F.first("sketch").alias("sketch"))
+    nodes = materialize(nodes, "near-nodes")
+    entries = nodes.select("node", "sketch", F.posexplode("prints").alias("table", "fp"))
+    groups = components(linked(entries), "near-edges")
+    joined = materialize(nodes.select("node", "least").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-groups")
+    kept = joined.groupBy("component").agg(F.min("least").alias("kept"))
+    by_node = materialize(joined.join(kept, "component").select("node", "kept"), "near-kept")
+    return found.select("doc_id", "node").join(by_node, "node").where(~F.col("doc_id").eqNullSafe(F.col("kept"))).select("doc_id").distinct()
+
+
+def without_near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
+    gone = near_copies(docs, k).withColumnRenamed("doc_id", "_gone")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
