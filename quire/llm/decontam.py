@@ -39,7 +39,7 @@ def extended(x: str, at_x: str, y: str, at_y: str, way: int, reach: Column) -> C
     start = F.struct(*[F.lit(0).alias(c) for c in ("score", "best", "length", "same", "so_far")])
 
     def step(s: Column, o: Column) -> Column:
-        equal = F.try_element_at(F.col(x), F.col(at_x) + way * o).eqNullSafe(F.try_element_at(F.col(y), F.col(at_y) + way * o))
+        equal = F.get(F.col(x), F.col(at_x) + way * o - 1) == F.get(F.col(y), F.col(at_y) + way * o - 1)  # null, and so not equal, beyond the ends
         score = s["score"] + F.when(equal, 1).otherwise(-2)
         so_far = s["so_far"] + F.when(equal, 1).otherwise(0)
         better, over = score > s["best"], s["score"] <= s["best"] - 6
