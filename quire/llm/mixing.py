@@ -124,8 +124,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, s
         .join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("k")))
         .withColumn("start", F.col("end") - F.col("size"))
     )
-    n, size = F.col("n_blocks"), F.col("shard_size")
-    first, last = F.expr("(start * n_blocks) div shard_size"), F.expr("((end - 1) * n_blocks) div shard_size")
+    n, size = F.greatest("n_blocks", F.lit(1)), F.greatest("shard_size", F.lit(1))  # shards without words have neither
+    first, last = F.expr("(start * n_blocks) div greatest(shard_size, 1)"), F.expr("((end - 1) * n_blocks) div greatest(shard_size, 1)")
     begins = lambda k: F.floor((k * size + n - 1) / n).cast("long")  # noqa: E731  block k begins at ceil(k * shard_size / n_blocks)
     # an odd multiplier prime to n_blocks permutes the block numbers; the first quota % n_blocks places are taken once more
     taken_of = lambda k: (F.least(F.col("end"), begins(k + 1)) - F.greatest(F.col("start"), begins(k))) * (
