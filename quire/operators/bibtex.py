@@ -40,7 +40,7 @@ def clean_tex(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(s, "{}", ""), r"(?U)\s+", " "))
 
 
-def split_name(part: Column, strip: str = "") -> Column:
+def split_name(part: Column) -> Column:
     """struct<given,family> of 'Family, Given' or of 'Given Family'."""
     part = F.trim(part)
     given, family = F.trim(F.regexp_extract(part, r"(?s)^[^,]*,(.*)$", 1)), F.trim(F.substring_index(part, ",", 1))

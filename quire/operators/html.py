@@ -6,7 +6,6 @@ Spark's XPath functions need well-formed markup, which pages aren't; the parser
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable
 from html.parser import HTMLParser
 
@@ -176,6 +175,3 @@ def catalogue(pages: DataFrame) -> DataFrame:
         F.when(F.col("title").contains(" / "), person).alias("authors"), nonempty(after).alias("publisher"), "labels",
     )
 
-
-def strip_tags(text: str) -> str:
-    return re.sub(r"<[^>]*>", "", text)

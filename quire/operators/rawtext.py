@@ -9,7 +9,7 @@ from ..functions.text import nonempty
 from ..sources.schemas import BIB_ITEM, RAW_TEXT
 from .crossref import status
 
-FIELDS = tuple(part.strip().split(" ")[0] for part in "raw_text,type,title,year,pubstate,authors,editors,journal,volume,issue_number,start_page,end_page,publisher,doi,url".split(","))
+FIELDS = ("raw_text", "type", "title", "year", "pubstate", "authors", "editors", "journal", "volume", "issue_number", "start_page", "end_page", "publisher", "doi", "url")
 
 
 def convert(raw: DataFrame) -> DataFrame:

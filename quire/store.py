@@ -13,7 +13,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
+        if named is None and context.master != "local" and not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quire-"))
     return context.getCheckpointDir()
