@@ -2,37 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..store import materialize, shared_dir  # noqa: F401  for the operators of this folder
+
 #: A word is a run of anything but the space and the control characters from tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 GAPS = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's checkpoint folder. Only a local master gets one of its own."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quire-"))
-    return context.getCheckpointDir()
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: lineage ends there, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_frame(spark: SparkSession, columns: dict, schema: pa.Schema) -> DataFrame:
     """A frame made of columns held by the driver, whose size the caller has bounded."""
     return spark.createDataFrame(pa.table(columns, schema=schema))
