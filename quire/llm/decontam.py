@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Fixed masks: token positions of a seed that count; those between may be substituted.
-MASKS = ((0, 1, 3, 4, 6, 8), (0, 1, 2, 5, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 2, 3, 4, 5))
-SPAN = 9
+#: Fixed masks: token positions of a seed that count; those between may be substituted. All begin with two adjacent tokens.
+MASKS = ((0, 1, 3, 5, 6), (0, 1, 4, 5, 7), (0, 1, 2, 6, 8), (0, 1, 2, 3, 4))
 #: Tokens of a document that one row holds, and those on either side that an overlap around a hit may reach.
 CHUNK, REACH = 1024, 96
 #: Test tokens whose seeds are broadcast at once (about 100 bytes each); a larger benchmark is searched in blocks.
@@ -19,19 +18,13 @@ MOST_TOKENS = 400_000
 
 
 def tokens(text: Column) -> Column:
-    """Hashes of the runs of letters and digits, lower-cased."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+    """Runs of letters and digits, lower-cased."""
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def windows(array: Column, n: int = SPAN) -> Column:
-    """array<struct<t0..>>: the tokens from each position on, null beyond the end."""
-    return F.arrays_zip(*[F.slice(array, i + 1, F.greatest(F.size(array) - i, F.lit(0))).alias(f"t{i}") for i in range(n)])
-
-
-def seed(mask: tuple[int, ...], row: str) -> Column:
-    """Hash of the masked tokens; null where the mask passes the end."""
-    return F.when(F.col(f"{row}.t{mask[-1]}").isNotNull(), F.xxhash64(*[F.col(f"{row}.t{i}") for i in mask]))
+def seed(mask: tuple[int, ...], array: str, at: Column) -> Column:
+    """Hash of the masked tokens from position `at` (from 0) on; null where the mask passes the end."""
+    return F.when(F.get(F.col(array), at + mask[-1]).isNotNull(), F.xxhash64(*[F.get(F.col(array), at + i) for i in mask]))
 
 
 def extended(x: str, at_x: str, y: str, at_y: str, way: int, reach: Column) -> Column:
@@ -59,7 +52,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, equal: floa
     broadcast in blocks of at most most_tokens tokens, counted first; documents are cut into rows of CHUNK tokens with
     REACH more on either side, so that long texts are many rows. Nothing of the documents moves but verified hits.
 
-    Null or empty text on either side shares nothing; neither do items of fewer than six tokens. Rows of one doc_id (or item_id) are
+    Null or empty text on either side shares nothing; neither do items of fewer than five tokens. Rows of one doc_id (or item_id) are
     taken together. Empty tables: no rows. Other columns are not looked at.
     """
     items = benchmark.select("item_id", tokens(F.col("text")).alias("item")).where(F.size("item") >= len(MASKS[0]))
@@ -74,21 +67,25 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, equal: floa
 
 
 def hits(docs: DataFrame, items: DataFrame, least: int, equal: float) -> DataFrame:
-    cut = docs.select("doc_id", tokens(F.col("text")).alias("all")).where(F.size("all") >= len(MASKS[0]))
-    cut = cut.select("doc_id", "all", F.explode(F.expr(f"sequence(1, size(all), {CHUNK})")).alias("from"))
+    # words stay strings, and positions after the first join alone are looked at further: few begin with two words of an item
+    cut = docs.select("doc_id", tokens(F.col("text")).alias("all"))
+    cut = cut.select("doc_id", "all", F.explode(F.expr(f"sequence(1, greatest(size(all), 1), {CHUNK})")).alias("from"))
     cut = cut.withColumn("first", F.greatest(F.col("from") - REACH, F.lit(1)))
     cut = cut.select("doc_id", "from", "first", F.expr(f"slice(all, first, from - first + {CHUNK + REACH})").alias("chunk"))
-    own = F.expr(f"slice(chunk, from - first + 1, {CHUNK + SPAN - 1})")
-    rows = cut.select("doc_id", "from", "first", "chunk", F.posexplode(windows(own)).alias("p", "w")).where(F.col("p") < CHUNK)
-    rows = rows.select("doc_id", "from", "first", "chunk", "p", *[seed(m, "w").alias(f"s{k}") for k, m in enumerate(MASKS)])
-    placed = items.select("item_id", F.posexplode(windows(F.col("item"))).alias("q", "w"))
+    rows = cut.select("doc_id", "first", "chunk", (F.col("from") - F.col("first")).alias("skip"), F.posexplode(F.expr(f"slice(chunk, from - first + 1, {CHUNK})")).alias("p", "word"))
+    rows = rows.withColumn("at", F.col("skip") + F.col("p"))
+    placed = items.select("item_id", "item", F.posexplode("item").alias("q", "word"))
+    pair = lambda array, at: F.xxhash64("word", F.get(F.col(array), F.col(at) + 1))
+    pairs = placed.where(F.get("item", F.col("q") + 1).isNotNull()).select(pair("item", "q").alias("pair")).distinct()
+    rows = rows.withColumn("pair", pair("chunk", "at")).join(F.broadcast(pairs), "pair", "left_semi")
+    rows = rows.select("doc_id", "first", "chunk", "at", *[seed(m, "chunk", F.col("at")).alias(f"s{k}") for k, m in enumerate(MASKS)])
     for k, mask in enumerate(MASKS):
-        lane = placed.select(seed(mask, "w").alias(f"s{k}"), F.struct("item_id", F.col("q")).alias("place")).where(F.col(f"s{k}").isNotNull())
+        lane = placed.select(seed(mask, "item", F.col("q")).alias(f"s{k}"), F.struct("item_id", "q").alias("place")).where(F.col(f"s{k}").isNotNull())
         lane = lane.groupBy(f"s{k}").agg(F.collect_set("place").alias(f"places{k}"))
         rows = rows.join(F.broadcast(lane), f"s{k}", "left")
     places = [f"places{k}" for k in range(len(MASKS))]
     rows = rows.where(F.coalesce(*places).isNotNull())
-    rows = rows.select("doc_id", "first", "chunk", (F.col("from") - F.col("first") + F.col("p") + 1).alias("at"), F.explode(F.array_distinct(F.flatten(F.array(*[F.coalesce(c, F.array()) for c in places])))).alias("place"))
+    rows = rows.select("doc_id", "first", "chunk", (F.col("at") + 1).alias("at"), F.explode(F.array_distinct(F.flatten(F.array(*[F.coalesce(c, F.array()) for c in places])))).alias("place"))
     rows = rows.select("doc_id", "first", "chunk", "at", F.col("place.item_id").alias("item_id"), (F.col("place.q") + 1).alias("q"))
     pairs = rows.join(F.broadcast(items), "item_id").withColumn("before", F.col("q") - 1).withColumn("back", F.col("at") - 1)
     right = extended("chunk", "back", "item", "before", 1, F.least(F.size("chunk") - F.col("back"), F.col("size") - F.col("before"), F.lit(REACH)))

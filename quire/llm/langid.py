@@ -15,8 +15,10 @@ from .common import fold
 
 #: Bytes of a segment: the recurrence runs within a word, and a longer word is cut into segments of this length.
 SEGMENT = 32
+#: Words whose states are held at once.
+AT_ONCE = 8_192
 #: Words that a Python worker keeps with their pooled labels; the store is emptied when it is full.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 MAX_LANGUAGES = 256
 
 
@@ -172,7 +174,7 @@ class Labeller:
         known = self.known
         new = list({x for doc in words for x in doc if x not in known})
         if new:
-            self.sums = np.concatenate([self.sums, *(pooled(self.model.weights, new[i : i + 65_536]) for i in range(0, len(new), 65_536))])
+            self.sums = np.concatenate([self.sums, *(pooled(self.model.weights, new[i : i + AT_ONCE]) for i in range(0, len(new), AT_ONCE))])
             self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, new), np.float32, len(new))])
             known.update(zip(new, range(len(known), len(known) + len(new))))
         best, score = np.full(len(words), -1), np.zeros(len(words))
