@@ -15,10 +15,10 @@ from .common import fold
 
 #: Bytes of a segment: the recurrence runs within a word, and a longer word is cut into segments of this length.
 SEGMENT = 32
-#: Words whose states are held at once.
-AT_ONCE = 8_192
+#: Documents whose words, and words whose states, are held at once.
+PART, AT_ONCE = 500, 8_192
 #: Words that a Python worker keeps with their pooled labels; the store is emptied when it is full.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 120_000
 MAX_LANGUAGES = 256
 
 
@@ -169,7 +169,7 @@ class Labeller:
     def documents(self, texts: pa.Array) -> pa.Array:
         if len(self.known) > KEPT_WORDS:
             self.__init__(self.model)
-        words = [segments(t) if t else [] for t in texts.cast(pa.binary()).to_pylist()]
+        words = [segments(t.encode()) if t else [] for t in texts.to_pylist()]
         lettered = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
         known = self.known
         new = list({x for doc in words for x in doc if x not in known})
@@ -196,8 +196,8 @@ def predictor(model: Model | None):
     @F.arrow_udf("struct<lang:string,score:double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         labeller = Labeller(model)
-        for texts in batches:
-            yield labeller.documents(texts)
+        for texts in batches:  # a part at a time, as words are held as objects
+            yield pa.concat_arrays([labeller.documents(texts.slice(at, PART)) for at in range(0, len(texts), PART)] or [labeller.documents(texts)])
 
     return predict
 
