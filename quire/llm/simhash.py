@@ -99,6 +99,22 @@ def trie_join(keys: np.ndarray, depth: int, budget: int, matched: Callable[[np.n
         stack.append((d + 1, *(x[alive] for x in (a0, a1, b0, b1, err))))
 
 
+def every_pair(k: np.ndarray, first: np.ndarray, n: int, depth: int, matched: Callable[[np.ndarray, np.ndarray], None]) -> None:
+    """trie_join over n rows sorted by key of which k are the distinct keys: all pairs of rows, those of one key included."""
+    last = np.r_[first[1:], n]
+
+    def rows(i: np.ndarray, j: np.ndarray) -> None:
+        sizes = (last[i] - first[i]) * (last[j] - first[j])
+        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        width = np.repeat(last[j] - first[j], sizes)
+        matched(np.repeat(first[i], sizes) + at // width, np.repeat(first[j], sizes) + at % width)
+
+    for lo, hi in zip(first[last - first > 1], last[last - first > 1]):
+        for x in range(lo, hi - 1):
+            matched(np.full(hi - x - 1, x), np.arange(x + 1, hi))
+    trie_join(k, depth, BUDGET, rows)
+
+
 def compare(keys: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, budget: int, matched: Callable) -> None:
     sizes = (a1 - a0) * (b1 - b0)
     cuts = np.searchsorted(np.cumsum(sizes), np.arange(PIECE, sizes.sum() + PIECE, PIECE), side="left") + 1
@@ -120,64 +136,78 @@ def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Sets are those of links within the budget, and, where rows carry sketches, of sketches that agree. A pair whose ends
     are in one set already is not looked at again; edges are at most as many as rows.
     """
-    gathered = [b for b in batches if b.num_rows]
-    if gathered:
-        data = pa.Table.from_batches(gathered)
-        path, fixed = (data.column(c).to_numpy() for c in ("path", "fixed"))
-        key, node = data.column("key").to_numpy().view(np.uint64), data.column("node").to_numpy()
-        sketch = None
-        if data.column("sketch").null_count < data.num_rows:
-            sketch = np.frombuffer(b"".join(data.column("sketch").to_pylist()), np.uint16).reshape(data.num_rows, -1)
-        out: list = []
-        lanes = np.unique(np.stack([path, fixed], axis=1), axis=0)
-        for lane, depth in lanes:
-            own = np.flatnonzero((path == lane) & (fixed == depth))
-            own = own[np.argsort(key[own], kind="stable")]
-            k, first = np.unique(key[own], return_index=True)
-            label = np.arange(len(own))
-            if sketch is None:
-                label[:] = np.repeat(first, np.diff(np.r_[first, len(own)]))  # equal keys are one node
-                trie_join(k, int(depth), BUDGET, lambda i, j: unite(label, first[i], first[j]))
-            else:
-                last = np.r_[first[1:], len(own)]
-                signs = sketch[own]
-
-                def verified(i: np.ndarray, j: np.ndarray) -> None:
-                    for at in range(0, len(i), 1 << 14):
-                        x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
-                        apart = label[x] != label[y]
-                        x, y = x[apart], y[apart]
-                        good = agree(signs[x], signs[y])
-                        unite(label, x[good], y[good])
-
-                def each(i: np.ndarray, j: np.ndarray) -> None:
-                    n = (last[i] - first[i]) * (last[j] - first[j])
-                    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    width = np.repeat(last[j] - first[j], n)
-                    verified(np.repeat(first[i], n) + at // width, np.repeat(first[j], n) + at % width)
-
-                trie_join(k, int(depth), BUDGET, each)
-                for lo, hi in zip(first, last):  # texts with one fingerprint
-                    for x in range(lo, hi - 1):
-                        verified(np.full(hi - x - 1, x), np.arange(x + 1, hi))
-            a, b = node[own], node[own][label]
-            out.append((a[a != b], b[a != b]))
-        a, b = (np.concatenate(x) for x in zip(*out))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-#: Positions of a sketch, and the least share of agreeing positions.
-SKETCH, SIMILAR = 128, 0.8
+    for data, node, own, k, first, depth in lanes_of(batches):
+        label = np.arange(len(node))
+        if data.column("sketch").null_count:
+            label[:] = np.repeat(first, np.diff(np.r_[first, len(node)]))  # equal keys are one node
+            trie_join(k, depth, BUDGET, lambda i, j: unite(label, first[i], first[j]))  # noqa: B023
+        else:
+            signs = np.frombuffer(b"".join(data.column("sketch").take(pa.array(own)).to_pylist()), np.uint16).reshape(len(own), -1)
+
+            def verified(i: np.ndarray, j: np.ndarray) -> None:
+                for at in range(0, len(i), 1 << 14):
+                    x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
+                    apart = label[x] != label[y]  # noqa: B023
+                    x, y = x[apart], y[apart]
+                    good = agree(signs[x], signs[y])  # noqa: B023
+                    unite(label, x[good], y[good])  # noqa: B023
+
+            every_pair(k, first, len(node), depth, verified)
+        a, b = node, node[label]
+        yield pa.RecordBatch.from_arrays([pa.array(a[a != b], pa.int64()), pa.array(b[a != b], pa.int64())], ["a", "b"])
+
+
+#: Positions of a sketch, the similarity that links, and the standard error of its estimate there, which is allowed for.
+SKETCH, SIMILAR, ERROR = 128, 0.8, 0.035
 
 
 def agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Share of agreeing positions among those that either sketch fills, an estimate of the shingle sets' Jaccard similarity."""
     either = (x != 0) | (y != 0)
-    return ((x == y) & either).sum(axis=1) >= SIMILAR * np.maximum(either.sum(axis=1), 1)
+    return ((x == y) & either).sum(axis=1) >= (SIMILAR - ERROR) * np.maximum(either.sum(axis=1), 1)
 
 
 def linked(prints: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
-    """Edges (a, b) that span the links among rows (node long, fp long, sketch binary or null) of prints, distinct nodes.
+    """Edges (a, b) that span the links among rows (node long, fp long, sketch binary or null) of prints, distinct nodes."""
+    return dealt(prints, large_group).mapInArrow(stars, "a long, b long")
+
+
+def with_partner(prints: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
+    """The nodes of prints (node, fp) that have another within the budget."""
+    return dealt(prints.select("node", "fp", F.lit(None).cast("binary").alias("sketch")), large_group).mapInArrow(partners, "node long").distinct()
+
+
+def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (path, key, fixed, node, sketch) of whole groups: nodes that have a partner, maybe repeated."""
+    for _, node, _, k, first, depth in lanes_of(batches):
+        size = np.diff(np.r_[first, len(node)])
+        flag = size > 1
+
+        def mark(i: np.ndarray, j: np.ndarray) -> None:
+            flag[i] = True
+            flag[j] = True
+
+        trie_join(k, depth, BUDGET, mark)
+        yield pa.RecordBatch.from_arrays([pa.array(node[np.repeat(flag, size)])], ["node"])
+
+
+def lanes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Of each path and depth, rows by key: the table, nodes, places in the table, distinct keys, the first place of each, and the depth."""
+    gathered = [b for b in batches if b.num_rows]
+    if not gathered:
+        return
+    data = pa.Table.from_batches(gathered)
+    path, fixed = (data.column(c).to_numpy() for c in ("path", "fixed"))
+    key, node = data.column("key").to_numpy().view(np.uint64), data.column("node").to_numpy()
+    for lane, depth in np.unique(np.stack([path, fixed], axis=1), axis=0):
+        own = np.flatnonzero((path == lane) & (fixed == depth))
+        own = own[np.argsort(key[own], kind="stable")]
+        k, first = np.unique(key[own], return_index=True)
+        yield data, node[own], own, k, first, int(depth)
+
+
+def dealt(prints: DataFrame, large_group: int) -> DataFrame:
+    """Rows (path, key, fixed, node, sketch) of prints in the groups that a trie join takes whole, dealt out over the cluster.
 
     With a column `table`, each node has a fingerprint for each table, and those of one table are linked.
 
@@ -208,7 +238,7 @@ def linked(prints: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
         rows = marked.where("large").select("node", "sketch", lanes.alias("lane")).select("node", "sketch", "lane.path", "lane.key", F.lit(fixed + width).alias("fixed"))
     if done is not None:
         rows = done.unionByName(rows)
-    return rows.repartition("path", "fixed", F.expr("shiftrightunsigned(key, 64 - fixed)")).select("path", "key", "fixed", "node", "sketch").mapInArrow(stars, "a long, b long")
+    return rows.repartition("path", "fixed", F.expr("shiftrightunsigned(key, 64 - fixed)")).select("path", "key", "fixed", "node", "sketch")
 
 
 def cluster(docs: DataFrame, k: int = 3) -> DataFrame:
@@ -277,8 +307,8 @@ def near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
 
     Texts of the same words, A to Z alike, are one node. A pair of nodes is looked at if the fingerprints of their
     distinct words differ in 3 bits or fewer in any of TABLES independent hashes, found by the trie self-join, and
-    linked if their k-word shingles have a similarity of 0.8 or more by a sketch of 128 values (exact for sets that leave no two
-    shingles in one bin, else with a standard error of 0.035). Of each connected group the least doc_id stays.
+    linked if their k-word shingles have a similarity of 0.8 or more by a sketch of 128 values, whose standard error of
+    0.035 is allowed for. Of each connected group the least doc_id stays.
 
     Texts without words, null ones too, are copies of each other. Rows of one doc_id are one document and stay or go together; a
     null doc_id is greater than any other. Other columns are not looked at. No rows: no rows.
