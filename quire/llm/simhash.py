@@ -172,25 +172,6 @@ def linked(prints: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
     return dealt(prints, large_group).mapInArrow(stars, "a long, b long")
 
 
-def with_partner(prints: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
-    """The nodes of prints (node, fp) that have another within the budget."""
-    return dealt(prints.select("node", "fp", F.lit(None).cast("binary").alias("sketch")), large_group).mapInArrow(partners, "node long").distinct()
-
-
-def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (path, key, fixed, node, sketch) of whole groups: nodes that have a partner, maybe repeated."""
-    for _, node, _, k, first, depth in lanes_of(batches):
-        size = np.diff(np.r_[first, len(node)])
-        flag = size > 1
-
-        def mark(i: np.ndarray, j: np.ndarray) -> None:
-            flag[i] = True
-            flag[j] = True
-
-        trie_join(k, depth, BUDGET, mark)
-        yield pa.RecordBatch.from_arrays([pa.array(node[np.repeat(flag, size)])], ["node"])
-
-
 def lanes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Of each path and depth, rows by key: the table, nodes, places in the table, distinct keys, the first place of each, and the depth."""
     gathered = [b for b in batches if b.num_rows]

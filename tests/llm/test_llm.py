@@ -194,6 +194,32 @@ def hashed(line):
     return h, np.array([len(h)])
 
 
+def test_lines_near_ones_are_found_at_every_length(spark):
+    rng = np.random.default_rng(11)
+    texts = []
+    for k in range(240):
+        n = (5, 6, 9, 10, 14, 20, 27, 40, 60, 90)[k % 10]
+        line = [f"{'abcdefghij'[int(v) % 10]}{'klmnopqrst'[int(v) // 10 % 10]}{'uvwxyz'[int(v) // 100 % 6]}" for v in rng.zipf(1.3, n) % 600]
+        edited = list(line)
+        for i in rng.permutation(n)[: n // 5]:
+            kind = rng.integers(3)
+            edited[i] = "" if kind == 0 else f"typo{'abcdefghij'[k % 10]}" if kind == 1 else f"{edited[i]} more"
+        texts += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(" ".join(edited).split()))]
+    texts += [(1000, "na " * 200), (1001, "na " * 190)]
+    words = [np.array([hash(w) & 0x7FFFFFFF for w in t.split()]) for _, t in texts]
+    i, j = np.triu_indices(len(texts), 1)
+    sizes = np.array([len(w) for w in words])
+    fits = np.abs(sizes[i] - sizes[j]) <= 0.2 * np.maximum(sizes[i], sizes[j])
+    i, j = i[fits], j[fits]
+    near = np.concatenate([lines.similar([words[v] for v in i[at : at + 2000]], [words[v] for v in j[at : at + 2000]], 0.8) for at in range(0, len(i), 2000)])
+    label = np.arange(len(texts))
+    simhash.unite(label, i[near], j[near])
+    planted = {texts[v][0] for v in np.flatnonzero(label != np.arange(len(texts)))}
+    assert len(planted) >= 200
+    got = {r.doc_id for r in lines.dropped(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == planted
+
+
 def test_line_prints_count_bits():
     rng = np.random.default_rng(3)
     sizes = np.array([1, 2, 255, 256, 700, 3])
