@@ -6,13 +6,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import fresh, materialize, row_tag
 
-#: Fixed masks: token positions of a seed that count; those between may be substituted. All begin with two adjacent tokens.
-MASKS = ((0, 1, 3, 5, 6), (0, 1, 4, 5, 7), (0, 1, 2, 6, 8), (0, 1, 2, 3, 4))
-#: Tokens of a document that one row holds, and those on either side that an overlap around a hit may reach.
-CHUNK, REACH = 1024, 96
+#: Fixed masks: token positions of a seed that count; those between may be substituted. All begin with two adjacent tokens. Every window of 13 tokens with
+#: two substitutions, and of 15 with three, holds a seed of one of them; the last, without gaps, is for items too short for the others.
+MASKS = ((0, 1, 3, 6, 7), (0, 1, 3, 8, 9), (0, 1, 2, 3, 4))
+#: Tokens of a document that one row holds.
+CHUNK = 1024
 #: Test tokens whose seeds are broadcast at once (about 100 bytes each); a larger benchmark is searched in blocks.
 MOST_TOKENS = 400_000
 
@@ -22,81 +24,92 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def seed(mask: tuple[int, ...], array: str, at: Column) -> Column:
-    """Hash of the masked tokens from position `at` (from 0) on; null where the mask passes the end."""
-    return F.when(F.get(F.col(array), at + mask[-1]).isNotNull(), F.xxhash64(*[F.get(F.col(array), at + i) for i in mask]))
-
-
-def extended(x: str, at_x: str, y: str, at_y: str, way: int, reach: Column) -> Column:
-    """struct<length,same> of the best extension of a hit: +1 for equal tokens, -2 for others, given up 6 below the best."""
-    start = F.struct(*[F.lit(0).alias(c) for c in ("score", "best", "length", "same", "so_far")])
-
-    def step(s: Column, o: Column) -> Column:
-        equal = F.get(F.col(x), F.col(at_x) + way * o - 1) == F.get(F.col(y), F.col(at_y) + way * o - 1)  # null, and so not equal, beyond the ends
-        score = s["score"] + F.when(equal, 1).otherwise(-2)
-        so_far = s["so_far"] + F.when(equal, 1).otherwise(0)
-        better, over = score > s["best"], s["score"] <= s["best"] - 6
-        return F.when(over, s).otherwise(
-            F.struct(score.alias("score"), F.greatest(score, s["best"]).alias("best"), F.when(better, o).otherwise(s["length"]).alias("length"), F.when(better, so_far).otherwise(s["same"]).alias("same"), so_far.alias("so_far"))
-        )
-
-    return F.when(reach >= 1, F.aggregate(F.sequence(F.lit(1), F.greatest(reach, F.lit(1))), start, step)).otherwise(start)
+def seeds(array: str, at: Column) -> Column:
+    """Hashes of the masked tokens from position `at` (from 0) on, one for each mask; null where a mask passes the end."""
+    return F.array(*[F.when(F.get(F.col(array), at + m[-1]).isNotNull(), F.xxhash64(F.lit(k), *[F.get(F.col(array), at + i) for i in m])) for k, m in enumerate(MASKS)])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 13, equal: float = 0.8, most_tokens: int = MOST_TOKENS) -> DataFrame:
     """doc_id, item_id, start, end, same, overlap: the largest overlap of each document and test item that shares one.
 
-    Seeds of both sides are hashed under each mask and joined; around every hit, equal tokens extend the overlap and
-    others are tolerated, both ways. An overlap counts from `least` tokens (or the whole item, if shorter) with a share
-    `equal` of equal ones. Starts and ends are token positions of the document, end exclusive. The test side is
-    broadcast in blocks of at most most_tokens tokens, counted first; documents are cut into rows of CHUNK tokens with
-    REACH more on either side, so that long texts are many rows. Nothing of the documents moves but verified hits.
+    Seeds of both sides are hashed under each mask and joined. The hits of one document and item with the same shift between
+    their positions are one diagonal, whose tokens are compared from end to end, whatever their number. An overlap is the
+    longest stretch of a diagonal that begins and ends with equal tokens and of which a share `equal` is equal; it counts from `least`
+    tokens or, if the item is shorter, with a share `equal` of the whole item. Of the diagonals of a document and item the one with the most
+    equal tokens is given, ties to the first start. Starts and ends are token positions of the document, end exclusive.
+
+    Items of equal tokens are searched once. Seeds of the test side are broadcast in blocks of at most about most_tokens tokens, counted first, an item
+    of any length being dealt over blocks; documents are cut into rows of CHUNK tokens, so that long texts are many rows. Nothing of
+    the documents moves but hits, and the texts that have one.
 
     Null or empty text on either side shares nothing; neither do items of fewer than five tokens. Rows of one doc_id (or item_id) are
-    taken together. Empty tables: no rows. Other columns are not looked at.
+    taken together, null ones too; repeated rows give one. Empty tables: no rows. Other columns, whatever their names, are not looked at.
+    """
+    docs = docs.select("doc_id", row_tag(F.col("doc_id"), F.col("text")).alias("tag"), "text")
+    listed = benchmark.select("item_id", tokens(F.col("text")).alias("item")).where(F.size("item") >= len(MASKS[-1]))
+    listed = materialize(listed.select("item_id", F.xxhash64("item").alias("key"), "item"), "decontam-items")
+    items = listed.groupBy("key").agg(F.first("item").alias("item")).withColumn("size", F.size("item"))
+    placed = items.select("key", "item", F.posexplode("item").alias("q", "word"))
+    placed = placed.select("key", "q", F.xxhash64("word", F.get("item", F.col("q") + 1)).alias("pair"), seeds("item", F.col("q")).alias("seeds"))
+    placed = materialize(placed.where(F.exists("seeds", lambda s: s.isNotNull())), "decontam-seeds")
+    blocks = max(1, -(-placed.count() // most_tokens))
+    part = F.pmod(F.xxhash64("key", F.expr("q div 4096")), F.lit(blocks))
+    found = [hits(docs, placed.where(part == i) if blocks > 1 else placed) for i in range(blocks)]
+    diagonals = materialize(reduce(DataFrame.unionByName, found).distinct(), "decontam-hits")
+    texts = docs.join(diagonals.select("tag").distinct(), "tag", "left_semi").distinct().select("doc_id", "tag", tokens(F.col("text")).alias("all"))
+    both = texts.join(diagonals, "tag").join(items, "key")
+    best = stretches(both, least, equal).groupBy("doc_id", "key").agg(F.max_by(F.struct("start", "end", "same", "overlap"), F.struct("same", -F.col("start"), -F.col("overlap"))).alias("best"))
+    return best.join(listed.select("item_id", "key").distinct(), "key").groupBy("doc_id", "item_id").agg(F.max_by("best", F.struct("best.same", -F.col("best.start"))).alias("best")).select("doc_id", "item_id", "best.*")
+
+
+def hits(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """tag, key, shift (position in the document less that in the item) of the seeds that both sides have."""
+    reach = max(m[-1] for m in MASKS)  # words stay strings, and positions after the first join alone are looked at further: few begin with two words of an item
+    cut = docs.select("tag", tokens(F.col("text")).alias("all"))
+    cut = cut.select("tag", "all", F.explode(F.expr(f"sequence(1, greatest(size(all), 1), {CHUNK})")).alias("from"))
+    cut = cut.select("tag", "from", F.expr(f"slice(all, from, {CHUNK + reach})").alias("chunk"))
+    rows = cut.select("tag", "from", "chunk", F.posexplode(F.expr(f"slice(chunk, 1, {CHUNK})")).alias("p", "word"))
+    pairs = placed.select("pair").distinct()
+    rows = rows.withColumn("pair", F.xxhash64("word", F.get("chunk", F.col("p") + 1))).join(F.broadcast(pairs), "pair", "left_semi")
+    rows = rows.select("tag", (F.col("from") + F.col("p") - 1).alias("at"), F.explode(seeds("chunk", F.col("p"))).alias("seed")).where(F.col("seed").isNotNull())
+    lanes = placed.select("key", "q", F.explode("seeds").alias("seed")).where(F.col("seed").isNotNull())
+    return rows.join(F.broadcast(lanes), "seed").select("tag", "key", (F.col("at") - F.col("q")).alias("shift"))
+
+
+def stretches(both: DataFrame, least: int, equal: float) -> DataFrame:
+    """doc_id, key, start, end, same, overlap of the longest overlap of each diagonal (doc_id, tag, all, key, item, size, shift) that has one.
+
+    Along a diagonal an equal token adds and another takes away so much that a stretch of the least share adds up to nothing: a stretch
+    counts if the sum at its end is no less than the one before it. In the order of falling sums, the last end so far is the farthest of each beginning.
     """
-    items = benchmark.select("item_id", tokens(F.col("text")).alias("item")).where(F.size("item") >= len(MASKS[0]))
-    items = materialize(items.withColumn("size", F.size("item")), "decontam-items")
-    total = items.agg(F.sum("size")).first()[0]
-    if not total:
-        return docs.select("doc_id").join(benchmark.select("item_id"), F.lit(False)).selectExpr("doc_id", "item_id", "0 AS start", "0 AS end", "0 AS same", "0 AS overlap").limit(0)
-    blocks = -(-total // most_tokens)
-    found = [hits(docs, items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i) if blocks > 1 else items, least, equal) for i in range(blocks)]
-    best = F.max_by(F.struct("start", "end", "same", "overlap"), F.struct("same", -F.col("start"))).alias("best")
-    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
-
-
-def hits(docs: DataFrame, items: DataFrame, least: int, equal: float) -> DataFrame:
-    # words stay strings, and positions after the first join alone are looked at further: few begin with two words of an item
-    cut = docs.select("doc_id", tokens(F.col("text")).alias("all"))
-    cut = cut.select("doc_id", "all", F.explode(F.expr(f"sequence(1, greatest(size(all), 1), {CHUNK})")).alias("from"))
-    cut = cut.withColumn("first", F.greatest(F.col("from") - REACH, F.lit(1)))
-    cut = cut.select("doc_id", "from", "first", F.expr(f"slice(all, first, from - first + {CHUNK + REACH})").alias("chunk"))
-    rows = cut.select("doc_id", "first", "chunk", (F.col("from") - F.col("first")).alias("skip"), F.posexplode(F.expr(f"slice(chunk, from - first + 1, {CHUNK})")).alias("p", "word"))
-    rows = rows.withColumn("at", F.col("skip") + F.col("p"))
-    placed = items.select("item_id", "item", F.posexplode("item").alias("q", "word"))
-    pair = lambda array, at: F.xxhash64("word", F.get(F.col(array), F.col(at) + 1))
-    pairs = placed.where(F.get("item", F.col("q") + 1).isNotNull()).select(pair("item", "q").alias("pair")).distinct()
-    rows = rows.withColumn("pair", pair("chunk", "at")).join(F.broadcast(pairs), "pair", "left_semi")
-    rows = rows.select("doc_id", "first", "chunk", "at", *[seed(m, "chunk", F.col("at")).alias(f"s{k}") for k, m in enumerate(MASKS)])
-    for k, mask in enumerate(MASKS):
-        lane = placed.select(seed(mask, "item", F.col("q")).alias(f"s{k}"), F.struct("item_id", "q").alias("place")).where(F.col(f"s{k}").isNotNull())
-        lane = lane.groupBy(f"s{k}").agg(F.collect_set("place").alias(f"places{k}"))
-        rows = rows.join(F.broadcast(lane), f"s{k}", "left")
-    places = [f"places{k}" for k in range(len(MASKS))]
-    rows = rows.where(F.coalesce(*places).isNotNull())
-    rows = rows.select("doc_id", "first", "chunk", (F.col("at") + 1).alias("at"), F.explode(F.array_distinct(F.flatten(F.array(*[F.coalesce(c, F.array()) for c in places])))).alias("place"))
-    rows = rows.select("doc_id", "first", "chunk", "at", F.col("place.item_id").alias("item_id"), (F.col("place.q") + 1).alias("q"))
-    pairs = rows.join(F.broadcast(items), "item_id").withColumn("before", F.col("q") - 1).withColumn("back", F.col("at") - 1)
-    right = extended("chunk", "back", "item", "before", 1, F.least(F.size("chunk") - F.col("back"), F.col("size") - F.col("before"), F.lit(REACH)))
-    left = extended("chunk", "at", "item", "q", -1, F.least(F.col("back"), F.col("before"), F.lit(REACH)))
-    sized = pairs.select("doc_id", "item_id", "size", (F.col("first") + F.col("at") - 2).alias("at"), right.alias("r"), left.alias("l"))
-    sized = sized.select("doc_id", "item_id", "size", (F.col("at") - F.col("l.length")).alias("start"), (F.col("at") + F.col("r.length")).alias("end"), (F.col("l.same") + F.col("r.same")).alias("same"))
-    sized = sized.withColumn("overlap", F.col("end") - F.col("start"))
-    return sized.where((F.col("overlap") >= F.least(F.lit(least), F.col("size"))) & (F.col("same") >= equal * F.col("overlap"))).drop("size")
+    up, down = 1000 - round(1000 * equal), round(1000 * equal)
+    first = F.greatest(-F.col("shift"), F.lit(0))  # of the item
+    length = F.least(F.col("size") - first, F.size("all") - F.col("shift") - first)
+    lined = both.select(
+        "doc_id", "tag", "key", "size", "shift", first.alias("first"),
+        F.zip_with(F.slice("all", F.col("shift") + first + 1, length), F.slice("item", first + 1, length), lambda x, y: x == y).alias("equals"),
+    )
+    told = lined.select("doc_id", "tag", "key", "size", "shift", "first", F.posexplode("equals").alias("i", "here"))
+    line = ["doc_id", "tag", "key", "shift"]
+    step = F.when(F.col("here"), up).otherwise(-down)
+    summed = told.withColumn("sum", F.sum(step).over(Window.partitionBy(*line).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # equal tokens alone begin and end a stretch: one row for each as a beginning (the sum before it), one as an end
+    marked = summed.where("here").select(*line, "size", "first", F.explode(F.array(
+        F.struct((F.col("sum") - up).alias("sum"), F.col("i").alias("begin"), F.lit(None).cast("struct<i:int,sum:bigint>").alias("stop")),
+        F.struct(F.col("sum"), F.lit(None).cast("int").alias("begin"), F.struct(F.col("i"), F.col("sum").alias("sum")).alias("stop")),
+    )).alias("m")).select(*line, "size", "first", "m.*")
+    falling = Window.partitionBy(*line).orderBy(F.desc("sum")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = marked.withColumn("stop", F.max("stop").over(falling)).where(F.col("begin").isNotNull() & (F.col("stop.i") >= F.col("begin")))
+    sized = ends.withColumn("overlap", (F.col("stop.i") - F.col("begin") + 1).cast("int"))
+    sized = sized.withColumn("same", F.round((F.col("stop.sum") - F.col("sum") + down * F.col("overlap")) / 1000).cast("int"))
+    sized = sized.where((F.col("overlap") >= least) | ((F.col("size") < least) & (F.col("same") >= equal * F.col("size"))))
+    begin = F.col("shift") + F.col("first") + F.col("begin")
+    whole = F.struct(begin.cast("int").alias("start"), (begin + F.col("overlap")).cast("int").alias("end"), "same", "overlap")
+    return sized.groupBy(*line).agg(F.max_by(whole, F.struct("overlap", "same", -F.col("begin"))).alias("it")).select("doc_id", "key", "it.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of docs without an overlap."""
-    leaked = overlaps(docs, benchmark, **options).select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("leaked")), "left_anti")
+    """The rows of docs whose doc_id has no overlap; see `overlaps` for nulls, repeats and empty tables. All columns stay as they are."""
+    (leaked,) = fresh(docs, "leaked")
+    found = overlaps(docs, benchmark, **options).select(F.col("doc_id").alias(leaked)).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col(leaked)), "left_anti")

@@ -313,24 +313,62 @@ def test_chunks_cover_the_text():
     assert start == [0, *end[:-1]] and end[-1] == len(text)
 
 
+def brute_overlap(doc, item, least=13, share=0.8):
+    """The best overlap by comparing all stretches of all diagonals."""
+    best = None
+    for shift in range(-len(item) + 1, len(doc)):
+        first = max(0, -shift)
+        equal = [doc[shift + i] == item[i] for i in range(first, min(len(item), len(doc) - shift))]
+        sums = np.r_[0, np.cumsum(equal)]
+        on = np.flatnonzero(equal)
+        longest = None
+        for i in on:
+            same = sums[on + 1] - sums[i]
+            size = on + 1 - i
+            good = (on >= i) & (same * 1000 >= round(1000 * share) * size) & ((size >= least) | ((len(item) < least) & (same >= share * len(item))))
+            if good.any():
+                j = np.flatnonzero(good)[-1]
+                found = (int(size[j]), int(same[j]), -int(i))
+                longest = max(longest or found, found)
+        if longest:
+            size, same, i = longest
+            start = shift + first - i
+            found = (same, -start, -size)
+            best = max(best or found, found)
+    return best and (-best[1], -best[1] - best[2], best[0], -best[2])
+
+
 def test_decontamination(spark):
     rng = np.random.default_rng(8)
     word = lambda: "".join(rng.choice(list("abcdefghij"), 5))
-    item = [word() for _ in range(40)]
-    swapped = list(item)
-    for i in (5, 13, 21, 30):
-        swapped[i] = "zzz"
-    noise = lambda n: " ".join(word() for _ in range(n))
-    texts = [
-        (1, f"{noise(50)} {' '.join(item)} {noise(9)}"), (2, f"{noise(3000)} {' '.join(swapped).upper()}"), (3, noise(400)), (4, " ".join(item[:8]) + " " + noise(50)), (5, None), (6, ""), (7, " ".join(item[10:30])), (8, noise(1020) + " " + " ".join(item)), (8, noise(5)),
-    ]
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    items = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, ""), (4, "of the")], "item_id long, text string")
-    for most in (400_000, 10):
-        got = {r.doc_id: r for r in decontam.overlaps(docs, items, most_tokens=most).collect()}
-        assert sorted(got) == [1, 2, 7, 8]
-        assert (got[1].start, got[1].end, got[1].same) == (50, 90, 40) and (got[2].start, got[2].same, got[2].overlap) == (3000, 36, 40) and (got[8].start, got[8].end) == (1020, 1060)
-    assert sorted(r.doc_id for r in decontam.clean(docs, items).collect()) == [3, 4, 5, 6]
+    items = {k: [word() for _ in range(n)] for k, n in enumerate((13, 14, 20, 40, 150, 600, 2000, 6, 9))}
+    texts = []
+    for k, item in items.items():
+        for share in (0.0, 0.1, 0.17):
+            for lo, hi in ((0, len(item)), (len(item) // 3, len(item)), (0, 2 * len(item) // 3)):
+                part = list(item[lo:hi])
+                for i in rng.permutation(len(part))[: int(share * len(part))]:
+                    part[i] = word()
+                noise = [[word() for _ in range(int(rng.integers(60)))] for _ in range(2)]
+                texts.append((len(texts), " ".join(noise[0] + part + noise[1])))
+        texts.append((len(texts), " ".join(item[:2] + ["zzz"] + item[3:-2] + ["zzz"] + item[-1:]).upper()))  # substitutions at the start and the end
+    texts += [(1000, None), (1001, ""), (1002, "of the"), (1003, " ".join(word() for _ in range(1020)) + ", " + "; ".join(items[3]))]
+    docs = spark.createDataFrame([*texts, texts[5]], "doc_id long, text string").withColumns({c: F.lit("x") for c in ("leaked", "tag", "key", "item", "all", "shift")})
+    bench = spark.createDataFrame([*[(k, " ".join(v)) for k, v in items.items()], (50, " ".join(items[2])), (51, None), (52, ""), (53, "of the")], "item_id long, text string")
+    want = {}
+    for d, text in texts:
+        for k, item in [*items.items(), (50, items[2])]:
+            if text and set(item) & set(words := re.findall("[a-z]+", text.lower())):
+                if found := brute_overlap(words, item):
+                    want[d, k] = found
+    got = {(r.doc_id, r.item_id): (r.start, r.end, r.same, r.overlap) for r in decontam.overlaps(docs, bench).collect()}
+    assert all(want.get(k) == v for k, v in got.items())
+    assert len(got) >= 0.97 * len(want) and len(want) > 50
+    assert {k for k in want if want[k][2] >= 0.85 * want[k][3]} <= set(got)
+    few = docs.where("doc_id < 12 OR doc_id > 999")
+    assert {(r.doc_id, r.item_id): r.start for r in decontam.overlaps(few, bench, most_tokens=500).collect()} == {k: v[0] for k, v in got.items() if k[0] < 12 or k[0] > 999}
+    kept = decontam.clean(docs, bench)
+    assert kept.columns == docs.columns and sorted({r.doc_id for r in kept.collect()}) == sorted({d for d, _ in texts} - {k[0] for k in got})
 
 
 def test_language(spark, docs, rows):
