@@ -16,8 +16,32 @@ HEX = r"[0-9a-f]{24,}"  # a run of 24 or more is found whole, as shorter runs fa
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 #: Alphabets in the order in which they are tried; a candidate's encoding is the first that holds all its characters.
 ALPHABETS = (("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF"), ("base36", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"))
-#: p-values are binned on a grid of this many steps before ranks are counted.
-GRID = 2_000
+#: p-values are binned by their logarithm, so many steps to a power of ten, before ranks are counted; beyond the last step they are one.
+GRID, LAST = 50, 1_000
+#: What runs of text are taken to be like at most (the null hypothesis): the chance that two symbols are equal is that of letters in prose or twice the alphabet's,
+#: a third moment of the same law, the share of neighbours of different kinds (lower, upper, digit, sign), and the correlation of neighbours.
+COINCIDENCE, SKEW, CHANGES, CORRELATION = 0.065, 1.3, 0.25, 0.3
+#: Elements whose running sum is formed at once.
+STRETCH = 256
+
+
+def bound(value: Column, f) -> Column:
+    """f of a value that is worked out once: a variable of a lambda is, an expression repeated inside of one is not."""
+    return F.transform(F.array(value), f)[0]
+
+
+def running(xs: Column, joined_by=lambda a, b: a + b) -> Column:
+    """What an associative operation makes of each beginning of an array of ints: first within stretches, then over their totals, so that long arrays aren't copied at each step."""
+    zero = F.array().cast("array<int>")
+    add = lambda acc, x: F.concat(acc, F.array(F.when(F.size(acc) > 0, joined_by(F.try_element_at(acc, F.lit(-1)), x)).otherwise(x)))
+
+    def whole(s: Column) -> Column:
+        pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / STRETCH).cast("int")), lambda i: F.aggregate(F.slice(s, i * STRETCH + 1, STRETCH), zero, add))
+        totals = lambda p: F.aggregate(F.transform(p, lambda q: F.element_at(q, -1)), zero, add)
+        shifted = lambda p, t: F.zip_with(p, F.concat(F.array(F.lit(None).cast("int")), F.slice(t, 1, F.size(t) - 1)), lambda q, o: F.when(o.isNull(), q).otherwise(F.transform(q, lambda v: joined_by(o, v))))
+        return bound(pieces, lambda p: bound(totals(p), lambda t: F.flatten(shifted(p, t))))
+
+    return F.when(F.size(xs) > 0, bound(xs, whole)).otherwise(zero)
 
 
 def spans_of(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
@@ -26,18 +50,17 @@ def spans_of(text: Column, pattern: str, kind: str, group: int = 0, least: int =
     The pieces between matches and the matches themselves alternate, so that running lengths give the positions.
     """
     order = {"assign": 0, "access": 1, "hex": 2, "random": 3}[kind]
-    gaps = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind_no:int,kind:string,end:int,value:string>>").alias("spans"))
 
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.element_at(gaps, i + 1))
-        end = start + F.length(F.element_at(hits, i + 1))
-        span = F.struct(start.alias("start"), F.lit(order).alias("kind_no"), F.lit(kind).alias("kind"), end.alias("end"), F.element_at(hits, i + 1).alias("value"))
-        return F.struct(end.alias("at"), F.when(F.length(F.element_at(counted, i + 1)) >= least, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+    def placed(s: Column) -> Column:
+        ends = running(F.zip_with(F.slice(s["gaps"], 1, F.size(s["hits"])), s["hits"], lambda g, h: F.length(g) + F.length(h)))
+        spans = F.zip_with(ends, s["hits"], lambda e, h: F.struct((e - F.length(h)).alias("start"), F.lit(order).alias("kind_no"), F.lit(kind).alias("kind"), e.alias("end"), h.alias("value")))
+        if not least:
+            return spans
+        return F.transform(F.filter(F.zip_with(spans, s["counted"], lambda x, c: F.struct(x.alias("span"), (F.length(c) >= least).alias("fits"))), lambda x: x["fits"]), lambda x: x["span"])
 
-    return F.when(text.rlike(pattern), F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), zero, step)["spans"])
+    return F.when(text.rlike(pattern), bound(F.struct(F.split(text, pattern, -1).alias("gaps"), hits.alias("hits"), counted.alias("counted")), placed))
 
 
 def normal_tail(z: Column) -> Column:
@@ -50,48 +73,46 @@ def normal_tail(z: Column) -> Column:
 
 
 def battery(value: Column) -> Column:
-    """struct<encoding,n,p>: p is the chance that a uniformly random string of the inferred encoding looks less random.
+    """struct<encoding,n,p>: p is the chance that a run of text looks at least as random as the value does.
 
-    Chi-squared against the uniform alphabet (Wilson and Hilferty's cube root), Wald and Wolfowitz's runs about the
-    middle of the alphabet, and lag-one serial correlation; three p-values joined by Bonferroni's rule.
+    Three tests, each against the null hypothesis that the value is text and for a uniformly random string of the inferred encoding: chi-squared against the
+    uniform alphabet (as the number of equal pairs, which it is linear in), runs of symbols of one kind, and lag-one serial correlation of the
+    symbols' places in the alphabet. They are joined by Rueger's rule, 3/2 of the second least p-value, which holds whatever their dependence. A short value
+    can't be told from text with certainty, so that its p is large however random it looks.
     """
     body = F.rtrim(value, F.lit("="))
     named = [F.when(~body.rlike(f"[^{chars.replace('-', '')}{'-' if '-' in chars else ''}]"), F.struct(F.lit(name).alias("name"), F.lit(chars).alias("chars"))) for name, chars in ALPHABETS]
     coding = F.coalesce(*named, F.struct(F.lit("other").alias("name"), F.lit(ALPHABETS[-1][1]).alias("chars")))
-    return F.transform(
-        F.array(F.struct(coding.alias("coding"), F.split(body, "").alias("letters"))),
-        lambda x: measured(x["coding"]["name"], x["coding"]["chars"], F.filter(x["letters"], lambda c: c != "")),
-    )[0]
-
-
-def measured(name: Column, chars: Column, letters: Column) -> Column:
-    k = F.length(chars).cast("double")
-    codes = F.transform(letters, lambda c: F.instr(chars, c).cast("double") - 1)
-    return F.transform(F.array(F.struct(codes.alias("x"), k.alias("k"), name.alias("name"), chars.alias("chars"), letters.alias("letters"))), tests)[0]
+    symbols = bound(F.struct(coding.alias("coding"), F.split(body, "").alias("letters")), lambda s: F.struct(
+        s["coding"]["name"].alias("name"), F.length(s["coding"]["chars"]).cast("double").alias("k"),
+        F.transform(F.filter(s["letters"], lambda c: c != ""), lambda c: F.instr(s["coding"]["chars"], c)).alias("x"),
+        F.transform(F.filter(s["letters"], lambda c: c != ""), lambda c: F.when(c.between("a", "z"), 0).when(c.between("A", "Z"), 1).when(c.between("0", "9"), 2).otherwise(3)).alias("kinds"),
+    ))
+    return bound(symbols, tests)
 
 
 def tests(s: Column) -> Column:
     x, k = s["x"], s["k"]
     n = F.size(x).cast("double")
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, b: a + b)
-    counts = F.transform(F.split(s["chars"], ""), lambda c: F.size(F.filter(s["letters"], lambda l: (l == c) & (c != ""))).cast("double"))
-    chi = total(F.transform(counts, lambda c: c * c)) * k / n - n
-    df = k - 1
-    z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / df, 1.0 / 3) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    high = F.transform(x, lambda v: F.when(v >= k / 2, 1.0).otherwise(0.0))
-    n1 = total(high)
-    n0 = n - n1
-    pairs = F.sequence(F.lit(1), F.size(x) - 1)
-    runs = 1 + total(F.transform(pairs, lambda i: F.abs(F.element_at(high, i + 1) - F.element_at(high, i))))
-    mean_runs = 2 * n0 * n1 / n + 1
-    var_runs = (mean_runs - 1) * (mean_runs - 2) / (n - 1)
-    z_runs = F.when(var_runs > 0, (runs - mean_runs) / F.sqrt(var_runs)).otherwise(F.lit(9.0))
-    mean = total(x) / n
-    var = total(F.transform(x, lambda v: (v - mean) * (v - mean)))
-    lag = total(F.transform(pairs, lambda i: (F.element_at(x, i + 1) - mean) * (F.element_at(x, i) - mean)))
-    z_lag = F.when(var > 0, lag / var * F.sqrt(n)).otherwise(F.lit(9.0))
-    p = F.least(normal_tail(z_chi), 2 * normal_tail(F.abs(z_runs)), 2 * normal_tail(F.abs(z_lag))) * 3
-    return F.struct(s["name"].alias("encoding"), F.size(x).alias("n"), F.greatest(F.least(p, F.lit(1.0)), F.lit(0.0)).alias("p"))
+    pairs = F.sequence(F.lit(1), F.greatest(F.size(x) - 1, F.lit(1)))
+
+    chance = F.greatest(F.lit(COINCIDENCE), 2 / k)
+    equal = total(F.transform(F.sequence(F.lit(1), k.cast("int")), lambda j: F.size(F.filter(x, lambda v: v == j)).cast("double") * (F.size(F.filter(x, lambda v: v == j)) - 1) / 2))
+    mean = n * (n - 1) / 2 * chance
+    sd = F.sqrt(mean * (1 - chance) + n * (n - 1) * (n - 2) * chance * chance * (SKEW - 1))
+    p_equal = normal_tail((mean - equal - 0.5) / sd)
+
+    changes = total(F.transform(pairs, lambda i: F.when(F.try_element_at(s["kinds"], i + 1) != F.element_at(s["kinds"], i), 1.0).otherwise(0.0)))
+    p_runs = normal_tail((changes - 0.5 - (n - 1) * CHANGES) / F.sqrt((n - 1) * CHANGES * (1 - CHANGES)))
+
+    middle = total(F.transform(x, lambda v: v.cast("double"))) / n
+    around = F.transform(x, lambda v: v - middle)
+    lag = bound(around, lambda d: F.struct(total(F.transform(d, lambda v: v * v)).alias("var"), total(F.transform(pairs, lambda i: F.coalesce(F.try_element_at(d, i + 1), F.lit(0.0)) * F.element_at(d, i))).alias("cov")))
+    p_lag = bound(lag, lambda l: F.when(l["var"] > 0, normal_tail((CORRELATION - F.abs(l["cov"] / l["var"])) * F.sqrt(n))).otherwise(1.0))
+
+    p = F.array_sort(F.array(p_equal, p_runs, p_lag))[1] * 1.5
+    return F.struct(s["name"].alias("encoding"), F.size(x).alias("n"), F.greatest(F.least(p, F.lit(1.0)), F.lit(1e-300)).alias("p"))
 
 
 def stratum(n: Column) -> Column:
@@ -102,49 +123,65 @@ def stratum(n: Column) -> Column:
 def scan(docs: DataFrame, rate: float = 0.05) -> DataFrame:
     """doc_id, base and random of every row of docs (doc_id, text).
 
-    base: spans of the pattern kinds assign, access and hex; random: runs of 20 and more characters whose randomness the
-    battery doesn't reject, outside the base spans. The rejections are those of Benjamini and Hochberg's procedure at
-    `rate` within each class of encoding and length, whose ranks are counted over all candidates of docs: p-values go on a grid
-    of GRID steps, and the counts by class and step, at most 4 * 5 * GRID rows, make the thresholds. A run with a letter
-    or digit kind missing (all lower-case letters, say) is a word and no candidate. The text is read once; what is kept
-    between the two steps are spans. Starts and ends are in code points, end exclusive.
+    base: spans of the pattern kinds assign, access and hex; random: runs of 20 and more characters outside the base spans that the battery tells from text.
+    False discoveries among those reported are held to `rate` by Benjamini and Hochberg's procedure within each class of encoding and length, as short runs
+    have less power and would else be reported on the strength of long ones. Ranks are counted over all candidates of docs: p-values are rounded up to
+    a logarithmic grid, and the counts by class and step, at most 5 * 4 * LAST rows, make the thresholds. The text is read once; what is kept
+    between the two steps are spans.
 
     Null text is taken as empty; empty text has no spans; repeated rows each give a row and each count in the ranks; no
-    rows give no rows; other columns are not looked at.
+    rows give no rows; other columns, whatever their names, are not looked at.
     """
     text = F.coalesce("text", F.lit(""))
     base = F.array_sort(F.concat(*[F.coalesce(x, F.array()) for x in (spans_of(text, ASSIGN, "assign", 2, 6), spans_of(text, ACCESS, "access", 0, 20), spans_of(text, HEX, "hex"))]))
-    loose = F.coalesce(F.filter(spans_of(text, CANDIDATE, "random"), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")), F.array())
-    found = docs.select("doc_id", base.alias("base"), loose.alias("loose"))
-    free = F.filter("loose", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    found = docs.select("doc_id", base.alias("base"), F.coalesce(spans_of(text, CANDIDATE, "random"), F.array()).alias("loose"))
+    free = F.when((F.size("base") == 0) | (F.size("loose") == 0), F.col("loose")).otherwise(disjoint(F.col("base"), F.col("loose")))
     tested = F.transform(free, lambda c: F.struct(c["start"].alias("start"), c["kind_no"].alias("kind_no"), c["kind"].alias("kind"), c["end"].alias("end"), battery(c["value"]).alias("test")))
     kept = materialize(found.select("doc_id", F.transform("base", lambda b: F.struct(b["start"], b["kind_no"], b["kind"], b["end"])).alias("base"), tested.alias("loose")), "secret-spans")
-    step = lambda p: F.floor(p * GRID).cast("int")
+    step = lambda p: F.least(F.floor(-F.log10(p) * GRID), F.lit(LAST)).cast("int")
     counts = (
         kept.where(F.size("loose") > 0).select(F.explode("loose").alias("c"))
         .groupBy(F.col("c.test.encoding").alias("encoding"), stratum(F.col("c.test.n")).alias("class"), step(F.col("c.test.p")).alias("step"))
         .count()
         .collect()
     )
-    limits: dict = {}
-    for key in {(r.encoding, r["class"]) for r in counts}:
-        rows = sorted((r.step, r["count"]) for r in counts if (r.encoding, r["class"]) == key)
-        all_, seen, limit = sum(c for _, c in rows), 0, -1
-        for at, c in rows:
-            seen += c
-            if (at + 1) / GRID <= rate * seen / all_:
-                limit = at
-        limits[key] = limit
+    limits = thresholds([(r.encoding, r["class"], r.step, r["count"]) for r in counts], rate)
     if limits:
-        keys = sorted(limits)
-        cut = F.create_map(*[x for e, c in keys for x in (F.lit(f"{e}:{c}"), F.lit(limits[e, c]))])
+        cut = F.create_map(*[x for (e, c), limit in sorted(limits.items()) for x in (F.lit(f"{e}:{c}"), F.lit(limit))])
     else:
-        cut = F.create_map(F.lit(""), F.lit(-1))
-    passes = lambda c: step(c["test"]["p"]) > F.coalesce(F.try_element_at(cut, F.concat_ws(":", c["test"]["encoding"], stratum(c["test"]["n"]).cast("string"))), F.lit(-1))
+        cut = F.create_map(F.lit(""), F.lit(LAST + 1))
+    passes = lambda c: step(c["test"]["p"]) >= F.coalesce(F.try_element_at(cut, F.concat_ws(":", c["test"]["encoding"], stratum(c["test"]["n"]).cast("string"))), F.lit(LAST + 1))
     plain = lambda c: F.struct(c["start"], c["kind_no"], c["kind"], c["end"])
     return kept.select("doc_id", "base", F.transform(F.filter("loose", passes), plain).alias("random"))
 
 
+def disjoint(base: Column, loose: Column) -> Column:
+    """The spans of loose, of which none overlap, that no span of base meets: no base span begun before one reaches into it, and the next one begins after it."""
+
+    def free(both: Column) -> Column:
+        far = 1 << 30
+        reach = running(F.transform(both, lambda x: F.when(x["kind_no"] == 3, 0).otherwise(x["end"])), F.greatest)
+        following = F.reverse(running(F.transform(F.reverse(both), lambda x: F.when(x["kind_no"] == 3, far).otherwise(x["start"])), F.least))
+        near = F.zip_with(F.zip_with(reach, following, lambda r, f: F.struct(r.alias("reach"), f.alias("next"))), both, lambda n, x: F.struct(x.alias("span"), n.alias("near")))
+        kept = F.filter(near, lambda x: (x["span"]["kind_no"] == 3) & (x["near"]["reach"] <= x["span"]["start"]) & (x["near"]["next"] >= x["span"]["end"]))
+        return F.transform(kept, lambda x: x["span"])
+
+    return bound(F.array_sort(F.concat(base, loose)), free)
+
+
+def thresholds(counts: list[tuple], rate: float) -> dict[tuple, int]:
+    """Of each class (encoding, length) the least step that is reported; counts: encoding, length class, step, number. None is reported of classes without one."""
+    out: dict[tuple, int] = {}
+    for key in {(e, c) for e, c, _, _ in counts}:
+        rows = sorted(((s, n) for e, c, s, n in counts if (e, c) == key), reverse=True)
+        all_, seen = sum(n for _, n in rows), 0
+        for s, n in rows:
+            seen += n
+            if 10 ** (-s / GRID) <= rate * seen / all_:
+                out[key] = s
+    return out
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The spans of `scan` as counts and text."""
     joined = lambda spans: F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

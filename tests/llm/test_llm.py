@@ -122,6 +122,68 @@ def test_secrets(spark):
     assert "random" in got[4].spans and "random" not in got[5].spans
 
 
+def plain_p(value):
+    """The battery's p-value by the formulas it names."""
+    from math import erf, sqrt
+
+    tail = lambda z: 0.5 - 0.5 * erf(z / sqrt(2))
+    body = value.rstrip("=")
+    chars = next((c for _, c in secrets.ALPHABETS if set(body) <= set(c)), secrets.ALPHABETS[-1][1])
+    x, n, k = [chars.index(c) + 1 for c in body], len(body), len(chars)
+    chance = max(0.065, 2 / k)
+    equal = sum(c * (c - 1) / 2 for c in Counter(x).values())
+    mean = n * (n - 1) / 2 * chance
+    sd = sqrt(mean * (1 - chance) + n * (n - 1) * (n - 2) * chance**2 * 0.3)
+    kind = lambda c: 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+    changes = sum(kind(a) != kind(b) for a, b in zip(body, body[1:]))
+    middle = sum(x) / n
+    var, cov = sum((v - middle) ** 2 for v in x), sum((a - middle) * (b - middle) for a, b in zip(x, x[1:]))
+    ps = [tail((mean - equal - 0.5) / sd), tail((changes - 0.5 - (n - 1) / 4) / sqrt((n - 1) * 3 / 16)), tail((0.3 - abs(cov / var)) * sqrt(n)) if var else 1.0]
+    return min(1, 1.5 * sorted(ps)[1])
+
+
+def random_runs(seed, n):
+    import base64
+
+    rng = np.random.default_rng(seed)
+    make = [lambda: base64.b64encode(rng.bytes(30)).decode(), lambda: rng.bytes(20).hex().upper(), lambda: "".join(rng.choice(list(secrets.ALPHABETS[3][1]), 48))]
+    syllables = ["tion", "er", "the", "ing", "an", "re", "ou", "st", "en", "le", "ver", "con", "de"]
+    word = lambda: "".join(rng.choice(syllables, int(rng.integers(1, 4))))
+    text = [lambda: "".join(word() for _ in range(8)), lambda: "_".join(word() for _ in range(6)), lambda: "".join(word().title() for _ in range(7)), lambda: f"{word()}-{word()}-{rng.integers(1990, 2030)}-{rng.integers(10, 13)}-{word()}{word()}", lambda: "-" * 30, lambda: "a" * 64]
+    return [(make if i % 4 == 0 else text)[int(rng.integers(len(make if i % 4 == 0 else text)))]() for i in range(n)]
+
+
+def test_secret_battery_and_thresholds(spark):
+    made = [(i % 4 == 0, r) for i, r in enumerate(random_runs(21, 800)) if re.fullmatch(secrets.CANDIDATE, r)]
+    runs = [r for _, r in made]
+    frame = spark.createDataFrame([(i, r) for i, r in enumerate(runs)], "doc_id long, text string").withColumns({c: F.lit(1) for c in ("base", "loose", "spans", "random")})
+    for r in frame.select("text", secrets.battery(F.col("text")).alias("t")).collect():
+        assert r.t.p == pytest.approx(plain_p(r.text), abs=2e-6) and r.t.n == len(r.text.rstrip("="))
+    got = {r.doc_id for r in secrets.scan(frame).collect() if r.random}
+    tokens = {i for i, (random, _) in enumerate(made) if random}
+    assert len(got - tokens) <= 0.1 * len(got) and len(got & tokens) >= 0.9 * len(tokens) and len(tokens) > 100
+    rng = np.random.default_rng(2)
+    counts = [("e", c, int(s), int(n)) for c in (0, 1) for s, n in zip(rng.permutation(400)[:60], rng.integers(1, 30, 60))]
+    for c in (0, 1):
+        steps = sorted(s for e, k, s, n in counts if k == c for _ in range(n))[::-1]  # rank by rank, the largest that fits
+        fits = [s for i, s in enumerate(steps, 1) if 10 ** (-s / secrets.GRID) <= 0.05 * len([x for x in steps if x >= s]) / len(steps)]
+        assert secrets.thresholds(counts, 0.05).get(("e", c)) == (min(fits) if fits else None)
+
+
+def test_secrets_in_long_texts(spark):
+    rng = np.random.default_rng(5)
+    pieces = []
+    for i in range(3000):
+        pieces += [f"token={i:08d}", "x" * int(rng.integers(1, 9)), f"AKIA{i:020d}" if i % 7 == 0 else "é😀", rng.bytes(16).hex() if i % 5 == 0 else "", random_runs(i, 1)[0] if i % 11 == 0 else "word"]
+    text = " ".join(pieces)
+    (got,) = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(s.start, s.kind_no, s.kind, s.end) for s in got.base] == base_spans(text)
+    taken = base_spans(text)
+    assert all(not any(a < s.end and s.start < b for a, _, _, b in taken) for s in got.random) and len(got.random) > 100
+    many = spark.createDataFrame([(1, "token=abcdef " * 100_000)], "doc_id long, text string")
+    assert secrets.digest(secrets.scan(many)).first().n_assign == 100_000
+
+
 def plain_print(t, k=3):
     w = WORD.findall(lower(t))
     s = [" ".join(w[i : i + k]) for i in range(len(w) - k + 1)] if len(w) >= k else [" ".join(w)] if w else []
