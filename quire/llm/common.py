@@ -64,13 +64,17 @@ def bitmap(keys: DataFrame, key: str) -> np.ndarray:
     return out.view(np.uint64)
 
 
+def held_by(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bitmap has the bits of the keys (uint64)."""
+    return (bits[(keys % np.uint64(BITS) >> np.uint64(6)).astype(np.int64)] >> (keys & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
 def maybe_in(bits: np.ndarray):
     """A column function of a long: false only where the key isn't among those of the bitmap."""
 
     @F.arrow_udf("boolean")
     def maybe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for keys in batches:
-            at = keys.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) % np.uint64(BITS)
-            yield pa.array((bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool))
+            yield pa.array(held_by(bits, keys.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
 
     return maybe

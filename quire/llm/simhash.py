@@ -6,12 +6,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bitmap, fresh, held_by, materialize, maybe_in, row_tag
 from .graph import components
+from .spans import Held, grouped, links
+from .wording import BLANKS, POWERS, mixed, parts, prints, sequences, unseen, words_of
 
 SEED = 42
 #: Differing bits that link two fingerprints. Four disjoint bit blocks and three errors leave one block without error.
@@ -99,22 +102,6 @@ def trie_join(keys: np.ndarray, depth: int, budget: int, matched: Callable[[np.n
         stack.append((d + 1, *(x[alive] for x in (a0, a1, b0, b1, err))))
 
 
-def every_pair(k: np.ndarray, first: np.ndarray, n: int, depth: int, matched: Callable[[np.ndarray, np.ndarray], None]) -> None:
-    """trie_join over n rows sorted by key of which k are the distinct keys: all pairs of rows, those of one key included."""
-    last = np.r_[first[1:], n]
-
-    def rows(i: np.ndarray, j: np.ndarray) -> None:
-        sizes = (last[i] - first[i]) * (last[j] - first[j])
-        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        width = np.repeat(last[j] - first[j], sizes)
-        matched(np.repeat(first[i], sizes) + at // width, np.repeat(first[j], sizes) + at % width)
-
-    for lo, hi in zip(first[last - first > 1], last[last - first > 1]):
-        for x in range(lo, hi - 1):
-            matched(np.full(hi - x - 1, x), np.arange(x + 1, hi))
-    trie_join(k, depth, BUDGET, rows)
-
-
 def compare(keys: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, budget: int, matched: Callable) -> None:
     sizes = (a1 - a0) * (b1 - b0)
     cuts = np.searchsorted(np.cumsum(sizes), np.arange(PIECE, sizes.sum() + PIECE, PIECE), side="left") + 1
@@ -131,64 +118,46 @@ def compare(keys: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1
 
 
 def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (path, key, fixed, node, sketch) of whole groups: an edge (a, b) from each node to the least of its set.
-
-    Sets are those of links within the budget, and, where rows carry sketches, of sketches that agree. A pair whose ends
-    are in one set already is not looked at again; edges are at most as many as rows.
-    """
-    for data, node, own, k, first, depth in lanes_of(batches):
-        label = np.arange(len(node))
-        if data.column("sketch").null_count:
-            label[:] = np.repeat(first, np.diff(np.r_[first, len(node)]))  # equal keys are one node
-            trie_join(k, depth, BUDGET, lambda i, j: unite(label, first[i], first[j]))  # noqa: B023
-        else:
-            signs = np.frombuffer(b"".join(data.column("sketch").take(pa.array(own)).to_pylist()), np.uint16).reshape(len(own), -1)
-
-            def verified(i: np.ndarray, j: np.ndarray) -> None:
-                for at in range(0, len(i), 1 << 14):
-                    x, y = i[at : at + (1 << 14)], j[at : at + (1 << 14)]
-                    apart = label[x] != label[y]  # noqa: B023
-                    x, y = x[apart], y[apart]
-                    good = agree(signs[x], signs[y])  # noqa: B023
-                    unite(label, x[good], y[good])  # noqa: B023
-
-            every_pair(k, first, len(node), depth, verified)
-        a, b = node, node[label]
-        yield pa.RecordBatch.from_arrays([pa.array(a[a != b], pa.int64()), pa.array(b[a != b], pa.int64())], ["a", "b"])
-
-
-#: Positions of a sketch, the similarity that links, and the standard error of its estimate there, which is allowed for.
-SKETCH, SIMILAR, ERROR = 128, 0.8, 0.035
-
-
-def agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Share of agreeing positions among those that either sketch fills, an estimate of the shingle sets' Jaccard similarity."""
-    either = (x != 0) | (y != 0)
-    return ((x == y) & either).sum(axis=1) >= (SIMILAR - ERROR) * np.maximum(either.sum(axis=1), 1)
+    """Rows of whole groups, sorted by group: an edge (a, b) from each node to the least of its set under links within the budget."""
+    for node, label in sets_of(batches):
+        b = node[label]
+        yield pa.RecordBatch.from_arrays([pa.array(node[node != b], pa.int64()), pa.array(b[node != b], pa.int64())], ["a", "b"])
+
+
+def clusters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of whole groups, sorted by group: key, node of each set of several nodes under links within the budget; the key is a hash of the set."""
+    for node, label in sets_of(batches):
+        order = np.lexsort((node, label))
+        node, label = node[order], label[order]
+        new = np.r_[True, (label[1:] != label[:-1]) | (node[1:] != node[:-1])]
+        node, label = node[new], label[new]
+        first = np.flatnonzero(np.r_[True, label[1:] != label[:-1]])
+        size = np.diff(np.r_[first, len(node)])
+        name = mixed(np.add.reduceat(mixed(node.view(np.uint64)), first) + size.astype(np.uint64))
+        kept = np.repeat(size > 1, size)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, size)[kept].view(np.int64)), pa.array(node[kept])], ["key", "node"])
 
 
 def linked(prints: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
-    """Edges (a, b) that span the links among rows (node long, fp long, sketch binary or null) of prints, distinct nodes."""
+    """Edges (a, b) that span the links among rows (node long, fp long) of prints, distinct nodes."""
     return dealt(prints, large_group).mapInArrow(stars, "a long, b long")
 
 
-def lanes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Of each path and depth, rows by key: the table, nodes, places in the table, distinct keys, the first place of each, and the depth."""
-    gathered = [b for b in batches if b.num_rows]
-    if not gathered:
-        return
-    data = pa.Table.from_batches(gathered)
-    path, fixed = (data.column(c).to_numpy() for c in ("path", "fixed"))
-    key, node = data.column("key").to_numpy().view(np.uint64), data.column("node").to_numpy()
-    for lane, depth in np.unique(np.stack([path, fixed], axis=1), axis=0):
-        own = np.flatnonzero((path == lane) & (fixed == depth))
-        own = own[np.argsort(key[own], kind="stable")]
-        k, first = np.unique(key[own], return_index=True)
-        yield data, node[own], own, k, first, int(depth)
+def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Nodes of some whole groups of one path and depth in the order of their keys, and for each the place of the least of its set. Equal keys are in one set."""
+    for _, path, key, fixed, node in grouped(batches, PIECE):
+        key = key.view(np.uint64)
+        for lane, depth in np.unique(np.stack([path, fixed], axis=1), axis=0):
+            own = np.flatnonzero((path == lane) & (fixed == depth))
+            own = own[np.lexsort((node[own], key[own]))]
+            k, first = np.unique(key[own], return_index=True)
+            label = np.repeat(first, np.diff(np.r_[first, len(own)]))
+            trie_join(k, int(depth), BUDGET, lambda i, j: unite(label, first[i], first[j]))  # noqa: B023
+            yield node[own], label[label]
 
 
 def dealt(prints: DataFrame, large_group: int) -> DataFrame:
-    """Rows (path, key, fixed, node, sketch) of prints in the groups that a trie join takes whole, dealt out over the cluster.
+    """Rows (group, path, key, fixed, node) of prints in the groups that a trie join takes whole, dealt out over the cluster and sorted by group.
 
     With a column `table`, each node has a fingerprint for each table, and those of one table are linked.
 
@@ -200,7 +169,7 @@ def dealt(prints: DataFrame, large_group: int) -> DataFrame:
     rotated = lambda i: F.shiftleft("fp", 16 * i).bitwiseOR(F.shiftrightunsigned("fp", 64 - 16 * i)) if i else F.col("fp")
     lanes = F.explode(F.array(*[F.struct(F.lit(i).alias("path"), rotated(i).alias("key")) for i in range(BLOCKS)]))
     lane = F.col("lane.path") + (F.col("table") * 1024 if "table" in prints.columns else 0)
-    rows = prints.select(*prints.columns, lanes.alias("lane")).select("node", "sketch", lane.alias("path"), "lane.key", F.lit(16).alias("fixed"))
+    rows = prints.select(*prints.columns, lanes.alias("lane")).select("node", lane.alias("path"), "lane.key", F.lit(16).alias("fixed"))
     done = None
     for fixed in (16, 28):
         group = F.shiftrightunsigned("key", 64 - fixed)
@@ -209,17 +178,18 @@ def dealt(prints: DataFrame, large_group: int) -> DataFrame:
             break
         marked = rows.withColumn("group", group).join(large.withColumn("large", F.lit(True)), ["path", "group"], "left")
         marked = materialize(marked, "simhash-large")
-        small = marked.where("large is null").select("node", "sketch", "path", "key", "fixed")
+        small = marked.where("large is null").select("node", "path", "key", "fixed")
         done = small if done is None else done.unionByName(small)
         left = 64 - fixed
         width, mask = left // BLOCKS, (1 << left) - 1
         low, high = F.col("key").bitwiseAND(F.lit(mask)), F.col("key").bitwiseAND(F.lit(~mask))
         turned = lambda j: high.bitwiseOR(F.shiftleft(low, j * width).bitwiseOR(F.shiftrightunsigned(low, left - j * width)).bitwiseAND(F.lit(mask)) if j else low)  # noqa: B023, E731
         lanes = F.explode(F.array(*[F.struct((F.col("path") * BLOCKS + 4 + j).alias("path"), turned(j).alias("key")) for j in range(BLOCKS)]))
-        rows = marked.where("large").select("node", "sketch", lanes.alias("lane")).select("node", "sketch", "lane.path", "lane.key", F.lit(fixed + width).alias("fixed"))
+        rows = marked.where("large").select("node", lanes.alias("lane")).select("node", "lane.path", "lane.key", F.lit(fixed + width).alias("fixed"))
     if done is not None:
         rows = done.unionByName(rows)
-    return rows.repartition("path", "fixed", F.expr("shiftrightunsigned(key, 64 - fixed)")).select("path", "key", "fixed", "node", "sketch")
+    rows = rows.select(F.xxhash64("path", "fixed", F.expr("shiftrightunsigned(key, 64 - fixed)")).alias("group"), "path", "key", "fixed", "node")
+    return rows.repartition("group").sortWithinPartitions("group")
 
 
 def cluster(docs: DataFrame, k: int = 3) -> DataFrame:
@@ -233,7 +203,7 @@ def cluster(docs: DataFrame, k: int = 3) -> DataFrame:
     prints = materialize(docs.select("doc_id", fingerprints(k)("text").alias("fp")), "simhash")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     nodes = materialize(nodes, "simhash-nodes")
-    edges = linked(nodes.select(F.col("fp").alias("node"), "fp", F.lit(None).cast("binary").alias("sketch")))
+    edges = linked(nodes.select(F.col("fp").alias("node"), "fp"))
     joined = nodes.join(components(edges, "simhash-edges"), nodes.fp == F.col("node"), "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("component"))
     joined = materialize(joined, "simhash-components")
     # alone: the row's own doc_id, so that only classes of two and more are joined to the documents
@@ -243,69 +213,128 @@ def cluster(docs: DataFrame, k: int = 3) -> DataFrame:
     return prints.join(named, "fp", "left").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-#: Independent fingerprints of a text in `near_copies`: a link in any of them makes a pair to verify.
-TABLES = 3
-
-
-def describe(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Of each text: a hash of its words, TABLES fingerprints of its distinct words, and a sketch of its k-word shingles.
-
-    The sketch is a one-permutation minhash: 16 bits of the least hash in each of SKETCH bins, 0 for an empty bin.
-    """
-    nodes, prints, sketches = np.empty(len(texts), np.uint64), np.empty((len(texts), TABLES), np.uint64), []
-    for at, text in enumerate(texts):
-        words = ascii_words(text)
-        nodes[at] = xxhash.xxh3_64_intdigest(b" ".join(words))
-        h = np.array([xxhash.xxh3_64_intdigest(w) for w in set(words)], dtype=np.uint64)
-        for t in range(TABLES):
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            h ^= h >> np.uint64(32)
-            ones = np.zeros(64, np.int64)
-            for i in range(0, len(h), 1 << 16):
-                ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-            prints[at, t] = int.from_bytes(np.packbits(2 * ones > len(h), bitorder="little").tobytes(), "little")
-        s = np.array([xxhash.xxh3_64_intdigest(x) for x in shingles(words, k)], dtype=np.uint64)
-        s = s[np.argsort(s >> np.uint64(8))[::-1]]
-        sketch = np.zeros(SKETCH, np.uint16)
-        sketch[(s & np.uint64(SKETCH - 1)).astype(np.int64)] = ((s >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.uint16) | np.uint16(1)  # the least comes last
-        sketches.append(sketch.tobytes())
-    return nodes, prints, sketches
-
-
-def described(k: int) -> Callable[[Column], Column]:
-    @F.arrow_udf("struct<node:long,prints:array<long>,sketch:binary>")
-    def describer(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            nodes, prints, sketches = describe(texts.to_pylist(), k)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(nodes) * TABLES + 1, TABLES, dtype=np.int32)), pa.array(prints.view(np.int64).ravel()))
-            yield pa.StructArray.from_arrays([pa.array(nodes.view(np.int64)), lists, pa.array(sketches, pa.binary())], ["node", "prints", "sketch"])
-
-    return describer
-
-
-def near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
-    """doc_id of the rows of docs (doc_id, text) that are copies or near copies of a document with a smaller doc_id.
-
-    Texts of the same words, A to Z alike, are one node. A pair of nodes is looked at if the fingerprints of their
-    distinct words differ in 3 bits or fewer in any of TABLES independent hashes, found by the trie self-join, and
-    linked if their k-word shingles have a similarity of 0.8 or more by a sketch of 128 values, whose standard error of
-    0.035 is allowed for. Of each connected group the least doc_id stays.
-
-    Texts without words, null ones too, are copies of each other. Rows of one doc_id are one document and stay or go together; a
-    null doc_id is greater than any other. Other columns are not looked at. No rows: no rows.
+#: Independent fingerprints of a text in `near_copies`, and the similarity of shingle sets that links.
+TABLES, SIMILAR = 6, 0.8
+#: Bins of the sketch that spares the comparison of sets far from SIMILAR, and the least estimate, four standard errors below it.
+BINS, LEAST = 128, 0.66
+
+
+def texts_of(batch: pa.RecordBatch, column: int) -> Iterator[tuple]:
+    """Of parts of a batch: the part, hashes of its words (A to Z lower-cased, parted by blanks), and of each text the first word and their number."""
+    for part, texts in parts(batch, column, pc.ascii_lower):
+        hashes, _, line, text, _ = words_of(texts, BLANKS)
+        size = np.bincount(text[line], minlength=part.num_rows)
+        yield part, hashes, np.cumsum(size) - size, size
+
+
+def names_of(hashes: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of the word sequences; that of no words is 0."""
+    return np.where(size > 0, mixed(sequences(hashes, at, at + size, POWERS[1]) + size.astype(np.uint64)), np.uint64(0))
+
+
+def distinct_by(owner: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of each of n owners in rising order, and their numbers."""
+    order = np.lexsort((values, owner))
+    owner, values = owner[order], values[order]
+    new = np.r_[True, (owner[1:] != owner[:-1]) | (values[1:] != values[:-1])][: len(owner)]
+    return values[new], np.bincount(owner[new], minlength=n)
+
+
+def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, tag, text -> doc_id, tag, node (hash of the words), prints: TABLES fingerprints of the distinct words."""
+    for batch in batches:
+        for part, hashes, at, size in texts_of(batch, 2):
+            node = names_of(hashes, at, size)
+            words, number = distinct_by(np.repeat(np.arange(len(size)), size), hashes, len(size))
+            some = number > 0
+            marks = np.zeros((len(size), TABLES), np.uint64)
+            for t in range(TABLES):
+                words = mixed(words + np.uint64(t + 1))
+                if some.any():
+                    marks[some, t] = prints(words, number[some])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(size) * TABLES + 1, TABLES, dtype=np.int32)), pa.array(marks.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(node.view(np.int64)), lists], ["doc_id", "tag", "node", "prints"])
+
+
+def shingling(bits: np.ndarray, k: int):
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """text -> node, value: the distinct k-word shingles, 32 bits of hash each, of texts that may be among the nodes of the bitmap; short texts are one shingle."""
+        seen: set = set()
+        for batch in batches:
+            for _, hashes, at, size in texts_of(batch, 0):
+                node = names_of(hashes, at, size)
+                own = np.flatnonzero(held_by(bits, node))
+                own = own[unseen(seen, node[own])]
+                number = np.where(size[own] > 0, np.maximum(size[own] - k + 1, 1), 0)
+                owner = np.repeat(np.arange(len(own)), number)
+                start = at[own][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
+                end = np.minimum(start + k, (at + size)[own][owner])
+                values, number = distinct_by(owner, mixed(sequences(hashes, start, end, POWERS[1])).astype(np.uint32), len(own))
+                ends = np.cumsum(number)
+                yield pa.RecordBatch.from_arrays([pa.array(node[own].view(np.int64)), pa.array([values[e - n : e].tobytes() for e, n in zip(ends, number)], pa.binary())], ["node", "value"])
+
+    return shingle
+
+
+class Shingled(Held):
+    """Texts of some sets as their shingles."""
+
+    def __init__(self, values: list[bytes]) -> None:
+        super().__init__(values)
+        self.sets_ = [np.frombuffer(v, np.uint32) for v in values]
+        self.size = np.array([len(v) for v in self.sets_], np.int64)
+        self.sketch = np.zeros((len(values), BINS), np.uint16)
+        for row, v in zip(self.sketch, self.sets_):  # the least value of a bin comes last, as shingles rise
+            row[v[::-1] % BINS] = (v[::-1] // BINS & 0xFFFE | 1).astype(np.uint16)
+
+    def close(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        good = np.flatnonzero(np.minimum(self.size[x], self.size[y]) >= SIMILAR * np.maximum(self.size[x], self.size[y]) - 1e-9)
+        kept = []
+        for at in range(0, len(good), 1 << 14):
+            own = good[at : at + (1 << 14)]
+            p, q = self.sketch[x[own]], self.sketch[y[own]]
+            kept.append(own[((p == q) & (p != 0)).sum(axis=1) >= LEAST * ((p != 0) | (q != 0)).sum(axis=1)])
+        return np.concatenate(kept) if kept else good
+
+    def similar(self, i: int, j: int) -> bool:
+        p, q = self.sets_[i], self.sets_[j]
+        both = len(np.intersect1d(p, q, assume_unique=True))
+        return both >= SIMILAR * (len(p) + len(q) - both) - 1e-9
+
+
+def near_copies(docs: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
+    """doc_id, tag of the documents (doc_id, tag, text) that are copies or near copies of one that comes before them, and of those with several rows.
+
+    Texts of the same words, A to Z alike, are one node. Fingerprints of their distinct words, in each of TABLES independent hashes, are joined by the
+    trie self-join within 3 bits; nodes of one set of such links are compared by their k-word shingles, and linked if the sets have a similarity (Jaccard)
+    of 0.8 or more, exactly but for 32-bit hashes. Recall is measured (README). Of each connected group the least doc_id stays, ties to the least tag.
+
+    Texts without words, null ones too, are copies of each other. Rows that agree in doc_id and text (tag is a hash of both) are one document; others
+    of one doc_id are others. A null doc_id is greater than any other. Other columns are not looked at. No rows: no rows.
     """
-    found = docs.select("doc_id", described(k)("text").alias("d"))
-    found = materialize(found.select("doc_id", "d.node", "d.prints", "d.sketch"), "near-prints")
-    nodes = found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("prints").alias("prints"), F.first("sketch").alias("sketch"))
-    nodes = materialize(nodes, "near-nodes")
-    entries = nodes.select("node", "sketch", F.posexplode("prints").alias("table", "fp"))
-    groups = components(linked(entries), "near-edges")
-    joined = materialize(nodes.select("node", "least").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")), "near-groups")
-    kept = joined.groupBy("component").agg(F.min("least").alias("kept"))
-    by_node = materialize(joined.join(kept, "component").select("node", "kept"), "near-kept")
-    return found.select("doc_id", "node").join(by_node, "node").where(~F.col("doc_id").eqNullSafe(F.col("kept"))).select("doc_id").distinct()
+    found = materialize(docs.select("doc_id", "tag", "text").mapInArrow(describe, "doc_id long, tag long, node long, prints array<long>"), "near-prints")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "tag")
+    nodes = materialize(found.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("prints").alias("prints")), "near-nodes")
+    entries = nodes.where("node <> 0").select("node", F.posexplode("prints").alias("table", "fp"))
+    shared = materialize(dealt(entries, LARGE_GROUP).mapInArrow(clusters, "key long, node long").distinct(), "near-sets")
+    bits = bitmap(shared.select("node").distinct(), "node")
+    values = docs.select("text").mapInArrow(shingling(bits, k), "node long, value binary").groupBy("node").agg(F.first("value").alias("value"))
+    groups = materialize(components(links(shared, values, Shingled), "near-edges").join(nodes.select("node", "first"), "node"), "near-groups")
+    kept = groups.groupBy("component").agg(F.min_by("node", "first").alias("node")).select("node", F.lit(True).alias("kept"))
+    lost = groups.join(kept, "node", "left").where("kept IS NULL").select("node", F.lit(True).alias("lost"))
+    several = nodes.select("node", "first", "last").join(lost, "node", "left").where("lost OR first <> last").select("node", "first", F.coalesce("lost", F.lit(False)).alias("lost"))
+    gone = found.select("doc_id", "tag", "node").join(several, "node").where("lost OR NOT (tag = first.tag AND doc_id <=> first.doc_id)").select("doc_id", "tag").distinct()
+    return gone, found.groupBy("doc_id", "tag").count().where("count > 1").select("doc_id", "tag")
 
 
 def without_near_copies(docs: DataFrame, k: int = 5) -> DataFrame:
-    gone = near_copies(docs, k).withColumnRenamed("doc_id", "_gone")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of docs for each group of near copies; see `near_copies`. Of rows that agree in doc_id and text, one stays. Columns of any name stay as they are."""
+    tag, key, mark = fresh(docs, "tag", "key", "mark")
+    long_id = F.col("doc_id").cast("long")
+    marked = docs.withColumn(tag, row_tag(long_id, F.col("text")))
+    gone, several = near_copies(marked.select(long_id.alias("doc_id"), F.col(tag).alias("tag"), "text"), k)
+    gone, several = materialize(gone, "near-gone"), materialize(several, "near-several")
+    touched = maybe_in(bitmap(gone.select("tag").unionByName(several.select("tag")), "tag"))(F.col(tag))
+    leaving = gone.select(F.col("doc_id").alias(key), F.col("tag").alias(mark))
+    rest = marked.where(touched).join(leaving, (F.col(tag) == F.col(mark)) & long_id.eqNullSafe(F.col(key)), "left_anti").dropDuplicates(["doc_id", tag])
+    return marked.where(~touched).unionByName(rest).select(docs.columns)

@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, and on awkward rows."""
 
+import functools
 import hashlib
 import re
 import zlib
@@ -10,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quire.llm import ann, decontam, graph, langid, lines, lm, mixing, secrets, simhash, substrings, urls
+from quire.llm import ann, decontam, graph, langid, lines, lm, mixing, secrets, simhash, spans, substrings, urls
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -219,20 +220,54 @@ def test_trie_join_finds_all_pairs(depth):
 def test_large_groups_are_dealt_again(spark):
     rng = np.random.default_rng(1)
     keys = {int(x) for x in rng.integers(0, 1 << 20, 300)}
-    frame = spark.createDataFrame([(k, k, None) for k in keys], "node long, fp long, sketch binary")
+    frame = spark.createDataFrame([(k, k) for k in keys], "node long, fp long")
     small, whole = ({r.node: r.component for r in graph.components(simhash.linked(frame, n)).collect()} for n in (20, 1000))
     classes = lambda m: {frozenset(k for k in m if m[k] == c) for c in m.values()}
     assert classes(small) == classes(whole)
 
 
+def jaccard(a, b, k=5):
+    w = [WORD.findall(lower(t)) for t in (a, b)]
+    x, y = ({tuple(v[i : i + k]) for i in range(max(1, len(v) - k + 1))} if v else set() for v in w)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
 def test_near_copies(spark):
     rng = np.random.default_rng(2)
     base = [f"word{i}" for i in rng.integers(0, 5000, 300)]
     edited = [*base[:100], "other", *base[101:]]
     half = base[:150] + [f"new{i}" for i in range(150)]
-    texts = [(5, " ".join(base)), (6, " ".join(base).upper()), (7, " ".join(edited)), (8, " ".join(half)), (9, ""), (10, None), (11, "short text"), (12, "short test"), (3, "short text")]
-    frame = spark.createDataFrame(texts, "doc_id long, text string")
-    assert sorted(r.doc_id for r in simhash.without_near_copies(frame).collect()) == [3, 5, 8, 9, 12]
+    texts = [(5, " ".join(base)), (6, " ".join(base).upper()), (7, " ".join(edited)), (8, " ".join(half)), (9, ""), (10, None), (11, "short text"), (12, "short test"), (3, "short text"), (3, "other words of three"), (8, " ".join(base)), (3, "short text"), (None, "short text"), (None, "of no number")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("_gone", "tag", "key", "mark", "node", "kept")})
+    kept = simhash.without_near_copies(frame)
+    assert kept.columns == frame.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted((str(d), t) for d, t in [texts[0], texts[3], (9, ""), (12, "short test"), (3, "short text"), (3, "other words of three"), (None, "of no number")])
+
+
+def test_near_copies_against_all_pairs(spark):
+    rng = np.random.default_rng(31)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), int(rng.choice([2, 3, 5, 7, 9]))))
+    common = [word() for _ in range(60)]
+    texts = []
+    for g in range(70):
+        n = int(rng.choice([12, 40, 120, 400]))
+        base = [str(rng.choice(common)) if rng.random() < 0.5 else word() for _ in range(n)]
+        texts.append(" ".join(base))
+        for share in (0.01, 0.02, 0.03, 0.05) if g else [0.01] * 60:
+            copy = list(base)
+            for i in rng.permutation(n)[: round(share * n)]:
+                copy[i] = word()
+            texts.append(" ".join(copy))
+    pairs = {(i, j): jaccard(texts[i], texts[j]) for i in range(len(texts)) for j in range(max(0, i - 61), i)}
+    label = list(range(len(texts)))
+    for (i, j), s in pairs.items():
+        if s >= 0.8 - 1e-9:
+            a, b = label[i], label[j]
+            label = [min(a, b) if x in (a, b) else x for x in label]
+    want = {i for i in range(len(texts)) if label[i] != i}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = set(range(len(texts))) - {r.doc_id for r in simhash.without_near_copies(docs).collect()}
+    assert got <= want and len(got) >= 0.95 * len(want) and len(want) > 150
 
 
 def test_components(spark):
@@ -326,8 +361,8 @@ def test_lines_in_large_groups(spark):
     want = brute_lines(texts)
     assert {(r.doc_id, r.no) for r in lines.dropped(frame).collect()} == want
     shared = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 3), (2, 7)], "key long, node long")
-    words = spark.createDataFrame([(i, bytes(np.arange(10, dtype=np.uint32) + 1000 * (i % 4))) for i in range(40)], "node long, words binary")
-    ends = [graph.components(lines.links(shared, words, 0.8, hot)).collect() for hot in (5, 1000)]
+    words = spark.createDataFrame([(i, bytes(np.arange(10, dtype=np.uint32) + 1000 * (i % 4))) for i in range(40)], "node long, value binary")
+    ends = [graph.components(spans.links(shared, words, functools.partial(lines.Lines, least=0.8), hot)).collect() for hot in (5, 1000)]
     assert {r.node: r.component for r in ends[0]} == {r.node: r.component for r in ends[1]} == {i: i % 4 for i in range(40)}
 
 
