@@ -13,9 +13,12 @@ from pyspark.sql.window import Window
 
 from .common import WORD, materialize, small_frame
 
-#: Sources are named parts of a corpus; beyond this many the driver would have to hold too large a table.
-MAX_SOURCES = 10_000
-MAX_SHARDS = 32_768
+#: Shards beyond one for each source, which all are rows on the driver, and sources up to which their table is broadcast.
+MAX_SHARDS, MOST_BROADCAST = 32_768, 10_000
+
+
+#: Columns that the mix gives for each document.
+OUTPUT = ("doc_id", "source", "size", "source_size", "target", "taken", "n_blocks")
 
 
 def capped_targets(sizes: list[int], weights: list[float], cap: float) -> list[float]:
@@ -68,30 +71,30 @@ def sainte_lague(values: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, seed: int = 7, block_words: int = 64, shard_words: int = 131_072, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target, taken and n_blocks, and the columns named by carry, of every row of docs
-    (doc_id, text, source).
+    (doc_id, text, source). A carried column whose name one of the others has gets underscores at its end.
 
     Sources, ordered by code point with null last, take the weights in turn and share all words; a target stops at `cap`
     times the source's size. Each source is dealt into shards by a hash of doc_id, so that no source is ever one task. A
     shard is cut, in a seeded order of its documents, into blocks of equal numbers of words; Sainte-Lague gives blocks
     to sources by their targets and then, within a source, to shards by their words. A shard takes each of its blocks
-    quota // blocks times and the rest once, picked by a seeded permutation of the block numbers. The driver holds one
-    row for each source (at most MAX_SOURCES, else ValueError) and for each shard (at most MAX_SHARDS and the sources).
+    quota // blocks times and the rest once, picked by a seeded permutation of the block numbers. Blocks have block_words words; a source whose
+    words or target are fewer than 256 such blocks has smaller ones, a power of two, and shares seats with the sources of equal blocks. A source whose target is at the cap gets `cap` times all its blocks. The driver holds one
+    row for each source and for each shard (at most MAX_SHARDS and the sources), whatever the number of documents.
 
-    Null text or text without words: size and taken 0. Null source: a source of its own. Repeated rows each count. No
-    rows: no rows. Other columns of docs are not looked at. The block is at most block_words, and less when the smallest
-    source has fewer than 256 such blocks.
+    Null text or text without words: size and taken 0. Null source: a source of its own. Repeated rows each count; rows of one doc_id are ordered by size
+    and by a hash of their text. No rows: no rows. Other columns of docs are not looked at.
     """
     spark = docs.sparkSession
-    sized = materialize(docs.select("doc_id", "source", *[F.col(c).alias(f"_{c}") for c in carry], F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
-    found = sized.groupBy("source").agg(F.sum("size").alias("words")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    kept = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(0)  # one column, whose fields can't clash
+    sized = materialize(docs.select("doc_id", "source", kept.alias("kept"), F.xxhash64("text").alias("tag"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
+    found = sized.groupBy("source").agg(F.sum("size").alias("words")).collect()
     found.sort(key=lambda r: (r.source is None, r.source or ""))
     words = [r.words for r in found]
     targets = capped_targets(words, [weights[i % len(weights)] for i in range(len(words))], cap)
     total = sum(words)
     step = max(shard_words, math.ceil(total / MAX_SHARDS))
-    block = max(1, min([block_words, *(w // 256 for w in words if w)]))
+    fine = [int(min(w, t)) // 256 for w, t in zip(words, targets)]
+    block = {r.source: min(block_words, 1 << max(0, f.bit_length() - 1)) for r, f in zip(found, fine)}
     names = [r.source for r in found]
     per_source = small_frame(
         spark,
@@ -99,7 +102,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, s
         pa.schema([("known", pa.string()), ("source_size", pa.int64()), ("target", pa.float64()), ("n_shards", pa.int64())]),
     )
     dealt = (
-        sized.join(F.broadcast(per_source), sized.source.eqNullSafe(per_source.known))
+        sized.join(F.broadcast(per_source) if len(names) <= MOST_BROADCAST else per_source, sized.source.eqNullSafe(per_source.known))
         .drop("known")
         .withColumn("draw", F.xxhash64(F.lit(seed), F.lit("order"), "doc_id"))
         .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), F.lit("shard"), "doc_id"), F.col("n_shards")))
@@ -108,8 +111,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, s
     by_source: dict = {}
     for r in sorted(shards, key=lambda r: r.shard):
         by_source.setdefault(r.source, []).append((r.shard, r.words))
-    blocks = {s: np.array([max(1, round(w / block)) if w else 0 for _, w in rows], dtype=np.int64) for s, rows in by_source.items()}
-    quotas = sainte_lague(np.array(targets), round(total / block), np.array([cap * blocks[s].sum() if s in blocks else 0 for s in names], dtype=np.int64))
+    blocks = {s: np.array([max(1, round(w / block[s])) if w else 0 for _, w in rows], dtype=np.int64) for s, rows in by_source.items()}
+    most = np.array([cap * blocks[s].sum() if s in blocks else 0 for s in names], dtype=np.int64)
+    quotas = most.copy()  # of sources whose target is at the cap
+    for size in sorted(set(block.values())):
+        own = [i for i, s in enumerate(names) if block[s] == size and targets[i] < cap * words[i]]
+        shares = np.array([targets[i] for i in own])
+        quotas[own] = sainte_lague(shares, round(shares.sum() / size), most[own])
     columns: dict = {"s": [], "k": [], "n_blocks": [], "quota": [], "shard_size": []}
     for name, quota in zip(names, quotas):
         rows = by_source.get(name, [])
@@ -118,10 +126,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, s
             for key, value in zip(columns, (name, shard, int(n), int(q), w)):
                 columns[key].append(value)
     plan = small_frame(spark, columns, pa.schema([("s", pa.string()), ("k", pa.int64()), ("n_blocks", pa.int64()), ("quota", pa.int64()), ("shard_size", pa.int64())]))
-    ends = Window.partitionBy("source", "shard").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = Window.partitionBy("source", "shard").orderBy("draw", "doc_id", "size", "tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
         dealt.withColumn("end", F.sum("size").over(ends))
-        .join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("k")))
+        .join(F.broadcast(plan) if len(columns["s"]) <= MAX_SHARDS + MOST_BROADCAST else plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("k")))
         .withColumn("start", F.col("end") - F.col("size"))
     )
     n, size = F.greatest("n_blocks", F.lit(1)), F.greatest("shard_size", F.lit(1))  # shards without words have neither
@@ -139,5 +147,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: int = 3, s
             "taken",
             F.when((F.col("size") > 0) & (F.col("quota") > 0), F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), lambda acc, k: acc + taken_of(k).cast("long"))).otherwise(F.lit(0)).cast("long"),
         )
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "n_blocks", *[F.col(f"_{c}").alias(c) for c in carry])
+        .select(*[F.col(c) for c in OUTPUT], *[F.col(f"kept.`{c}`").alias(name) for c, name in zip(carry, names_beside(carry))])
     )
+
+
+def names_beside(carry: tuple[str, ...]) -> list[str]:
+    taken = {c.lower() for c in OUTPUT}
+    out = []
+    for c in carry:
+        while c.lower() in taken:
+            c += "_"
+        taken.add(c.lower())
+        out.append(c)
+    return out

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import bitmap, fresh, materialize, maybe_in, row_tag
 
 #: Bytes that the rolling hash looks back, mean and least and largest length of a chunk.
 WINDOW, MEAN, LEAST, MOST = 16, 32, 8, 1024
@@ -34,13 +34,11 @@ def cuts(data: np.ndarray) -> np.ndarray:
 
 
 def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> doc_id, tag (hash of the text), no, start, end (code points), first_word, last_word, digest."""
+    """doc_id, tag, text -> doc_id, tag, no, start, end (code points), first_word, last_word, digest."""
     digest = xxhash.xxh3_64_intdigest
     for batch in batches:
-        row, ends, digests, tags, nos = [], [], [], [], []
-        starts = []
-        ids = batch.column(0).to_pylist()
-        for k, text in enumerate(batch.column(1).to_pylist()):
+        row, digests, nos, starts = [], [], [], []
+        for k, text in enumerate(batch.column(2).to_pylist()):
             if not text:
                 continue
             raw = text.encode()
@@ -61,53 +59,74 @@ def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = np.r_[0, np.cumsum(~BLANK[data] & np.r_[True, BLANK[data[:-1]]])]
             starts.append(np.stack([points[a], points[b], words[a], words[b]]))
             digests += [digest(raw[x:y]) for x, y in own]
-            tags.append(np.full(len(own), xxhash.xxh64_intdigest(raw), np.uint64))
             nos.append(np.arange(len(own), dtype=np.int32))
             row.append(np.full(len(own), k))
         if row:
             place = np.concatenate(starts, axis=1).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(np.concatenate(row))), *(pa.array(x) for x in (np.concatenate(tags).view(np.int64), np.concatenate(nos), *place)), pa.array(np.array(digests, np.uint64).view(np.int64))],
+                [*(batch.column(c).take(pa.array(np.concatenate(row))) for c in (0, 1)), *(pa.array(x) for x in (np.concatenate(nos), *place)), pa.array(np.array(digests, np.uint64).view(np.int64))],
                 ["doc_id", "tag", "no", "start", "end", "first_word", "last_word", "digest"],
             )
 
 
 def repeats(docs: DataFrame, least_words: int = 20) -> DataFrame:
-    """doc_id, start, end (code points, end exclusive), n_words, copies, first of each passage that other documents hold too.
+    """doc_id, start, end (code points, end exclusive), n_words, copies, first, tag of the parts of passages that occur again, in other documents or in the same one.
 
     Every whole text is cut where a hash of the last bytes says so, so that an insertion moves the cuts around it and no
-    others; chunks whose digest occurs in two documents are repeated, and a run of repeated chunks is a passage if it
-    touches more than least_words words. first: the document is the one with the least doc_id for every chunk of the passage;
-    copies: the largest number of a chunk's occurrences. A digest's occurrences are counted before they are shuffled, and
-    the join back is on the side that adaptive execution can split.
+    others. A chunk is repeated if its digest occurs at several places; a run of repeated chunks is a passage if it
+    touches more than least_words words. A passage is given in parts: of those with first, this is the first place of every chunk (by doc_id, tag and position); all
+    others may go, as their chunks stay at another place. n_words is that of the part; copies: the largest number of a chunk's places. Digests are counted
+    before they are shuffled, only rows that may have a repeated digest (by a bitmap of fixed size) are moved, and the join back is on the side that adaptive execution can split.
 
-    Null, empty and short texts have no passage. Rows of one doc_id with equal text are one document, and no repeats of
-    each other; null doc_ids count as one document. No rows: no rows. Other columns are not looked at.
+    Null, empty and short texts have no passage. tag is a hash of doc_id and text: rows that agree in both are one document, and no repeats of
+    each other; others of one doc_id are others. Null doc_ids come first. No rows: no rows. Other columns, whatever their names, are not looked at.
     """
-    # the bounds of the window column are null-safe: a null doc_id is the least number
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    named = docs.select(F.col("doc_id").cast("long"), row_tag(F.col("doc_id").cast("long"), F.col("text")).alias("tag"), "text")
     schema = "doc_id long, tag long, no int, start int, end int, first_word int, last_word int, digest long"
-    chunks = materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(chunk, schema), "chunks")
-    known = chunks.select("digest", key.alias("d")).groupBy("digest").agg(F.min("d").alias("least"), F.max("d").alias("most"), F.count("*").alias("copies"))
-    repeated = known.where(F.col("least") < F.col("most")).select("digest", "least", "copies")
-    runs = Window.partitionBy("doc_id", "tag").orderBy("no")
+    chunks = materialize(named.mapInArrow(chunk, schema), "chunks")
+    often = materialize(chunks.groupBy("digest").count().where("count > 1").select("digest"), "chunks-often")
+    some = chunks.where(maybe_in(bitmap(often, "digest"))(F.col("digest")))
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tag", "no")
+    known = some.groupBy("digest").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.count("*").alias("copies"))
+    repeated = known.where("least <> most").select("digest", "least", "copies")
+    at = ["doc_id", "tag"]
+    runs, parts = Window.partitionBy(*at).orderBy("no"), Window.partitionBy(*at, "island", "first").orderBy("no")
+    passage = Window.partitionBy(*at, "island")
+    own = some.join(repeated, "digest").select(*at, "no", "start", "end", "first_word", "last_word", "copies", (F.col("least") == place).alias("first"))
     return (
-        chunks.join(repeated, "digest")
-        .withColumn("island", F.col("no") - F.dense_rank().over(runs))
-        .groupBy("doc_id", "tag", "island")
-        .agg(
-            F.min("start").alias("start"), F.max("end").alias("end"), (F.max("last_word") - F.min("first_word")).cast("long").alias("n_words"),
-            F.max("copies").alias("copies"), (F.max("least") == F.max(key)).alias("first"),
-        )
-        .where(F.col("n_words") > least_words)
-        .select("doc_id", "start", "end", "n_words", "copies", "first")
+        own.withColumn("island", F.col("no") - F.dense_rank().over(runs))
+        .withColumn("touched", F.max("last_word").over(passage) - F.min("first_word").over(passage))
+        .where(F.col("touched") > least_words)
+        .withColumn("part", F.col("no") - F.dense_rank().over(parts))
+        .groupBy(*at, "island", "first", "part")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.max("last_word") - F.min("first_word")).cast("long").alias("n_words"), F.max("copies").alias("copies"))
+        .select("doc_id", "start", "end", "n_words", "copies", "first", "tag")
     )
 
 
+def cut(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """Texts without the spans [start, end) of their sorted lists."""
+    out = []
+    for text, spans in zip(texts.to_pylist(), gone.to_pylist()):
+        if spans:
+            bounds = [0, *(x for s in spans for x in (s["start"], s["end"])), len(text)]
+            text = "".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
+        out.append(text)
+    return pa.array(out, pa.string())
+
+
 def remove(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """docs with the passages that aren't first cut out of the text; rows of null doc_id are left as they are."""
-    gone = passages.where(~F.col("first")).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_gone"))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
-    kept = F.aggregate("_gone", zero, lambda s, g: F.struct(g["end"].alias("at"), F.concat(s["text"], F.substring(F.col("text"), s["at"] + 1, F.greatest(g["start"] - s["at"], F.lit(0)))).alias("text")))
-    rest = F.concat(kept["text"], F.substring(F.col("text"), kept["at"] + 1, F.length("text")))
-    return docs.join(gone, "doc_id", "left").withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rest)).select(docs.columns)
+    """docs with the passages that aren't first cut out of the text. Null and empty texts stay, a text of passages alone is left empty; all other columns, whatever their names, stay as they are."""
+    tag, key, mark, gone_ = fresh(docs, "tag", "key", "mark", "gone")
+    gone = passages.where(~F.col("first")).groupBy("doc_id", "tag").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(gone_))
+    gone = materialize(gone.select(F.col("doc_id").alias(key), F.col("tag").alias(mark), gone_), "chunks-gone")
+    long_id = F.col("doc_id").cast("long")
+    marked = docs.withColumn(tag, row_tag(long_id, F.col("text")))
+    touched = maybe_in(bitmap(gone, mark))(F.col(tag))
+    rest = marked.where(touched).join(gone, (F.col(tag) == F.col(mark)) & long_id.eqNullSafe(F.col(key)), "left").withColumn("text", F.arrow_udf(cut, "string")("text", gone_))
+    return marked.where(~touched).select(docs.columns).unionByName(rest.select(docs.columns))
+
+
+def dedup(docs: DataFrame, least_words: int = 20) -> DataFrame:
+    """docs with each repeated passage kept at its first place alone; see `repeats` and `remove`."""
+    return remove(docs, repeats(docs, least_words))

@@ -46,16 +46,16 @@ def judge(
     rules: Sequence[tuple[str, str, str]] = RULES,
     least: int = 20,
     share: float = 0.02,
-    z: float = 1.96,
+    z: float = 2.58,
     strength: float = 10.0,
     purity: float = 0.5,
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, template and purity of every row of pages (page_id, url).
 
     labelled: page_id and bad (boolean) of some pages. Pages are first counted by host and typed path shape, so that a
-    host of any size is a table of shapes. Level by level below each node of a host's tree, a segment with under `least`
-    pages, or under `share` of its parent's, is variable and becomes '*'; of the others, those whose rate of bad labels doesn't
-    differ from their parent's by a z-test join into one branch '+'. A template's purity is the good share of its
+    host of any size is a table of shapes. Level by level below each node of a host's tree, a segment with at least `least` pages whose rate of bad labels
+    differs from its parent's (a z-test with continuity correction) is a branch of its own, however small its share; of the others, one with under `least`
+    pages, or under `share` of its parent's, is variable and becomes '*', and the rest join into one branch '+'. A template's purity is the good share of its
     labels, smoothed by `strength` labels at its host's purity, which is smoothed alike by that of all pages; under
     `purity` it is blocked. A rule that fits decides before any template.
 
@@ -82,11 +82,11 @@ def judge(
         nodes = here.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(*count)
         above = nodes.groupBy("host", "template").agg(F.sum("n").alias("all"), F.sum("labels").alias("all_labels"), F.sum("bad").alias("all_bad"))
         rate = (F.col("all_bad") + 1) / (F.col("all_labels") + 2)
-        apart = F.abs(F.col("bad") - F.col("labels") * rate) > z * F.sqrt(F.greatest(F.col("labels"), F.lit(1)) * rate * (1 - rate))
+        apart = F.abs(F.col("bad") - F.col("labels") * rate) - 0.5 > z * F.sqrt(F.greatest(F.col("labels"), F.lit(1)) * rate * (1 - rate))
         fixed = (
             nodes.where(F.col("n") >= least)
             .join(above, ["host", "template"])
-            .where(F.col("n") >= share * F.col("all"))
+            .where((F.col("n") >= share * F.col("all")) | apart)
             .select("host", "template", "segment", F.when(apart, F.col("segment")).otherwise("+").alias("branch"))
         )
         step = F.when(F.col("segment").isNotNull(), F.concat("template", F.lit("/"), F.coalesce("branch", F.lit("*")))).otherwise(F.col("template"))

@@ -86,6 +86,23 @@ def test_mix(docs, rows):
     assert sorted((str(r.doc_id), r.taken) for r in got) == sorted((str(r.doc_id), r.taken) for r in again.collect())
 
 
+def test_mix_of_many_small_sources(spark):
+    rng = np.random.default_rng(9)
+    texts = [(i, " ".join(["w"] * int(rng.integers(0, 900))), f"s{i % 3}" if i < 300 else f"tiny{i:05d}") for i in range(900)]
+    docs = spark.createDataFrame([*texts, *[(5, "a b c", "s0"), (5, "x y z", "s0")] * 2], "doc_id long, text string, source string").withColumns({c: F.lit("x") for c in ("size", "Taken", "kept", "draw", "s", "n_blocks")})
+    got = mixing.mix(docs, carry=("text", "size", "Taken", "draw")).collect()
+    assert len({c.lower() for c in got[0].asDict()}) == len(got[0]) and len(got) == len(texts) + 4
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 3 * r.size and r.size == len((r.text or "").split())
+    for s in target:
+        assert abs(taken[s] - target[s]) <= max(3, 0.02 * target[s])
+    again = mixing.mix(docs.repartition(5), carry=("text",)).collect()
+    assert sorted((r.doc_id, r.text, r.taken) for r in again) == sorted((r.doc_id, r.text, r.taken) for r in got)
+
+
 @pytest.mark.parametrize("seats", [1, 7, 50, 101])
 def test_sainte_lague_is_by_highest_quotients(seats):
     values, most = np.array([53.0, 24, 23, 0.5, 0]), np.array([30, 99, 99, 99, 99])
@@ -388,24 +405,56 @@ def test_edit_distance():
 def test_substrings(spark):
     rng = np.random.default_rng(6)
     words = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
-    passage = words(60) + " é😀 " + words(20)
-    texts = [(i, f"{words(40 + i)} {passage} {words(30)}") for i in range(5)] + [(50, words(200)), (51, None), (52, ""), (53, "kurz"), (53, "kurz"), (54, "a" * 5000), (60, words(100)), (60, words(100))]
-    frame = spark.createDataFrame(texts, "doc_id long, text string")
-    got = substrings.repeats(frame).collect()
-    assert {r.doc_id for r in got} == set(range(5)) and sorted(r.first for r in got) == [False] * 4 + [True]
-    for r in got:
-        assert dict(texts)[r.doc_id][r.start : r.end] in passage + " " and r.end - r.start > len(passage) - 200
-    kept = {r.doc_id: r.text for r in substrings.remove(frame, substrings.repeats(frame)).collect()}
-    first, other = next(r for r in got if r.first), next(r for r in got if not r.first)
-    assert kept[first.doc_id] == dict(texts)[first.doc_id]
-    assert kept[other.doc_id] == dict(texts)[other.doc_id][: other.start] + dict(texts)[other.doc_id][other.end :]
+    passage, other = words(60) + " é😀 " + words(20), words(70)
+    texts = [(i, f"{words(40 + i)} {passage} {words(30)}") for i in range(5)] + [(50, words(200)), (51, None), (52, ""), (53, "kurz"), (53, "kurz"), (60, words(100)), (60, f"{words(9)} {other} {words(9)} {other} x"), (61, f"{passage} {other}"), (62, f"y {passage} {other}"), (None, f"{words(20)} {other}")]
+    texts += [texts[10]]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("tag", "key", "gone", "mark", "_gone", "first", "no")})
+    found = substrings.repeats(frame).collect()
+    assert {r.doc_id for r in found} == {0, 1, 2, 3, 4, 60, 61, 62, None}
+    kept = substrings.dedup(frame)
+    assert kept.columns == frame.columns
+    rows = kept.collect()
+    assert len(rows) == len(texts)
+    whole = [r.text or "" for r in {(r.doc_id, r.text): r for r in rows}.values()]
+    grams = Counter(g for t in whole for g in {tuple(t.split()[i : i + 30]) for i in range(len(t.split()) - 29)})
+    assert max(grams.values()) == 1  # nothing of 30 words is left twice, and no word is lost
+    assert {w for _, t in texts for w in (t or "").split()} - {w for t in whole for w in t.split()} <= {w for r in found for d, t in texts if d == r.doc_id and t for w in (t[: r.start].split()[-1:] + t[r.end :].split()[:1])}
+    by = {(r.doc_id, r.text) for r in rows}
+    assert {(50, texts[5][1]), (51, None), (52, ""), (53, "kurz"), (0, texts[0][1]), (60, texts[10][1]), (None, texts[14][1])} <= by
+
+
+def test_substrings_against_all_windows(spark):
+    rng = np.random.default_rng(16)
+    vocabulary = ["".join(rng.choice(list("abcdefghijé"), int(rng.integers(1, 9)))) for _ in range(400)]
+    words = lambda n: [str(w) for w in rng.choice(vocabulary, n)]
+    shared = [words(n) for n in (25, 52, 60, 90, 300)]
+    texts = []
+    for i in range(60):
+        t = words(int(rng.integers(5, 300)))
+        if i % 2:
+            at = int(rng.integers(len(t)))
+            t[at:at] = shared[int(rng.integers(len(shared)))]
+        texts.append((i, " ".join(t)))
+    holders: dict = {}
+    for d, t in texts:
+        w = t.split()
+        for i in range(len(w) - 50):
+            holders.setdefault(tuple(w[i : i + 51]), set()).add(d)
+    want = {d for h in holders.values() if len(h) > 1 for d in h}
+    short: dict = {}
+    for d, t in texts:
+        w = t.split()
+        for i in range(len(w) - 15):
+            short.setdefault(tuple(w[i : i + 16]), set()).add(d)
+    got = {r.doc_id for r in substrings.repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert want <= got <= {d for h in short.values() if len(h) > 1 for d in h} and len(want) > 15
 
 
 def test_chunks_cover_the_text():
     import pyarrow as pa
 
     text = "".join(chr(c) for c in np.random.default_rng(7).integers(32, 900, 4000)) + "x" * 3000
-    out = next(substrings.chunk(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])])))
+    out = next(substrings.chunk(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), pa.array([text])], ["doc_id", "tag", "text"])])))
     start, end = out.column("start").to_pylist(), out.column("end").to_pylist()
     assert start == [0, *end[:-1]] and end[-1] == len(text)
 
@@ -571,6 +620,64 @@ def test_urls(spark):
     assert [(got[i].host, got[i].path, got[i].rule, got[i].verdict) for i in range(len(given))] == want
 
 
+def brute_templates(pages, bad, least=20, share=0.02, z=2.58, strength=10.0):
+    """page_id -> template and purity, by walking each host's tree; urls without a rule."""
+    split = {}
+    for p, u in pages:
+        host, _, path = (u.split("://", 1)[1] if "://" in u else "").partition("/")
+        parts = [x for x in re.split(r"[?#]", path)[0].lower().split("/") if x]
+        typed = [re.sub("[0-9]+", "{n}", re.sub("[0-9a-f-]{16,}", "{h}", x)) for x in parts]
+        split[p] = (host.lower(), typed[:7] + (["|".join(typed[7:])] if len(typed) > 7 else []))
+    now = {p: "" for p in split}
+    for level in range(max(len(s) for _, s in split.values())):
+        groups = {}
+        for p, (h, s) in split.items():
+            if level < len(s):
+                groups.setdefault((h, now[p]), {}).setdefault(s[level], []).append(p)
+        for (h, before), kids in groups.items():
+            every = [p for ps in kids.values() for p in ps]
+            known = [bad[p] for p in every if p in bad]
+            rate = (sum(known) + 1) / (len(known) + 2)
+            for seg, ps in kids.items():
+                own = [bad[p] for p in ps if p in bad]
+                apart = abs(sum(own) - len(own) * rate) - 0.5 > z * np.sqrt(max(len(own), 1) * rate * (1 - rate))
+                branch = "*" if len(ps) < least or not apart and len(ps) < share * len(every) else seg if apart else "+"
+                for p in ps:
+                    now[p] = before + "/" + branch
+    prior = 1 - sum(bad.values()) / len(bad)
+    smooth = lambda ps, base: (sum(not bad[p] for p in ps if p in bad) + strength * base) / (sum(p in bad for p in ps) + strength)
+    hosts = {h: smooth([p for p in split if split[p][0] == h], prior) for h in {h for h, _ in split.values()}}
+    return {p: (now[p], smooth([q for q in split if (split[q][0], now[q]) == (split[p][0], now[p])], hosts[split[p][0]])) for p in split}
+
+
+def test_url_templates_against_walked_trees(spark):
+    rng = np.random.default_rng(17)
+    pages, bad = [], {}
+    for i in range(1500):
+        host = ("big.net", "Big.net", "big.net", "small.io", f"h{i % 40}.example")[int(rng.integers(5))]
+        first = str(rng.choice(["news", "junk", "shop", f"s{rng.integers(70)}", f"u{i}"]))
+        rest = "/".join(str(rng.choice(["a", "b", f"{i}", f"p{i % 7}-x", "0123456789abcdef0123"])) for _ in range(int(rng.integers(0, 10))))
+        pages.append((i, f"http://{host}/{first}/{rest}" + ("?q=1" if i % 9 == 0 else "")))
+        if rng.random() < 0.6:
+            bad[i] = bool(rng.random() < {"junk": 0.9, "s5": 1.0, "s6": 0.9}.get(first, 0.1))
+    pages += [(2000, "http://big.net"), (2001, "none"), (2002, "http://big.net/" + "/".join("x" * 400))]
+    want = brute_templates(pages, bad)
+    frame = spark.createDataFrame(pages, "page_id long, url string").withColumns({c: F.lit("x") for c in ("host", "path", "shape", "template", "n", "bad", "salt", "labels", "segments")})
+    got = urls.judge(frame, spark.createDataFrame(list(bad.items()), "page_id long, bad boolean"), rules=()).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        assert (r.template, r.verdict) == (want[r.page_id][0], "block" if want[r.page_id][1] < 0.5 else "allow")
+        assert r.purity == pytest.approx(want[r.page_id][1])
+    assert any("/junk" in r.template for r in got) and any("+" in r.template for r in got) and any("*" in r.template for r in got)
+
+
+def test_small_sections_of_a_large_host_are_kept_apart(spark):
+    pages = [(i, f"http://one.net/{'bad' if i % 100 == 0 else f'ok{i % 90}'}/{i}") for i in range(6000)]
+    labelled = spark.createDataFrame([(i, i % 100 == 0) for i in range(0, 6000, 2)], "page_id long, bad boolean")
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), labelled).collect()
+    assert all((r.verdict == "block") == ("/bad/" in r.path) for r in got)
+
+
 def test_url_templates_learn_from_labels(spark):
     pages = [(i, f"http://one.net/{'junk' if i % 2 else 'news'}/{i}") for i in range(400)]
     labelled = spark.createDataFrame([(i, i % 2 == 1) for i in range(0, 400) if i % 3], "page_id long, bad boolean")
