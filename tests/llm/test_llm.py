@@ -534,17 +534,15 @@ def test_language(spark, docs, rows):
 
 
 def test_language_gradients():
-    model = langid.train([("a", b"xyxyx"), ("b", b"pqpq"), ("b", b"ppx")], hidden=3, steps=2, batch=6)
+    model = langid.train([("a", b"xyxyx"), ("b", b"pqpq"), ("b", b"ppx")], hidden=3, steps=2, batch=6, length=5)
     w = {k: v.astype(np.float64) for k, v in model.weights.items()}
-    words, target = [b"xyp", b"q", b"pqx"], np.array([0, 1, 1])
+    rows, target = np.frombuffer(b"xypqxqqpppqx", np.uint8).reshape(3, 4), np.array([0, 1, 1])
 
     def loss():
-        rows, active, order = langid.padded(words)
-        f, _ = langid.run(w, rows, active, "f")
-        b, _ = langid.run(w, rows, active, "b")
-        return -sum(np.log(langid.labels(w, f[t], b[t])[np.arange(active[t]), target[order][: active[t]]]).sum() for t in range(rows.shape[1])) / active.sum()
+        f, b = langid.run(w, rows, "f")[0], langid.run(w, rows, "b")[0]
+        return -np.mean([np.log(langid.labels(w, f[t], b[t])[np.arange(3), target]) for t in range(4)])
 
-    g = langid.gradients(w, words, target)
+    g = langid.gradients(w, rows, target)
     for name, at in (("Uf", (1, 4)), ("Ub", (2, 7)), ("Xf", (ord("p"), 2)), ("Xb", (ord("x"), 6)), ("Of", (0, 1)), ("bias", (1,))):
         w[name][at] += 1e-4
         high = loss()
@@ -554,6 +552,29 @@ def test_language_gradients():
         assert g[name][at] == pytest.approx((high - low) / 2e-4, rel=2e-2, abs=1e-5)
 
 
+def test_language_labels_are_those_of_the_plain_recurrence():
+    import pyarrow as pa
+
+    model = langid.train([("a", b"xyxyx z"), ("b", b"pqpq r"), ("c", b"ppx")], hidden=4, steps=5, batch=6, length=6)
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("xyzpq réÉ"), n)) for n in (1, 5, 700, 40)] + ["", None, "12 3", "".join(rng.choice(list("xyzpq "), 5000))]
+    got = langid.Labeller(model).documents(pa.array(texts)).to_pylist()
+    for text, r in zip(texts, got):
+        if not text or not any(c.isalpha() for c in text):
+            assert r == {"lang": "und", "score": 0.0}
+            continue
+        rows = np.frombuffer(text.lower().encode(), np.uint8)[None]
+        f, b = langid.run(model.weights, rows, "f")[0], langid.run(model.weights, rows, "b")[0]
+        p = np.mean([langid.labels(model.weights, x, y)[0] for x, y in zip(f, b)], axis=0)
+        assert r["lang"] == model.languages[p.argmax()] and r["score"] == pytest.approx(p.max(), abs=1e-3)
+
+
+def test_many_languages(spark):
+    rows = [(i, f"{chr(0x4E00 + i % 300) * 9} {chr(0x4E00 + i % 300) * 4}", f"l{i % 300:03d}") for i in range(900)]
+    got = langid.held_out_predictions(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(got) == 900 and {r.lang_pred for r in got} <= {r[2] for r in rows}
+
+
 def test_language_model(docs, rows):
     got = lm.held_out_scores(docs).collect()
     assert len(got) == len(rows)
