@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import decontam, langid, lines, mixing, simhash
-from quire.llm.common import fold, materialize, table
+from quire.llm.common import fold, fresh, materialize, table
 
 #: Documents whose best language has less than this share of their positions are of no language.
 LEAST_SCORE = 0.4
@@ -15,10 +15,11 @@ LEAST_SCORE = 0.4
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those of no one language."""
     model = langid.learn(docs.where(fold(F.col("doc_id"), 4) != 2))
-    found = langid.identify(docs, model)
     if model is None:  # nothing was learnt, so nothing can be rejected but texts without a letter
-        return found.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).select(docs.columns)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    (found,) = fresh(docs, "found")
+    marked = docs.withColumn(found, langid.predictor(model)(F.col("text")))
+    return marked.where((F.col(f"{found}.lang") != "und") & (F.col(f"{found}.score") >= LEAST_SCORE)).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
