@@ -12,15 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import materialize, small_frame
 
 #: Bytes of the sample that the trees are fitted to, and rows of it at most; the forest's own size follows from both.
 SAMPLE_BYTES, SAMPLE_ROWS = 1 << 24, 20_000
 TREES, LEAF = 10, 200
-#: Leaves that a query visits at least, over all trees, and their share of all leaves: recall holds as tables grow.
-PROBES, SHARE = 220, 0.075
-#: Rows of a leaf that one group holds.
-PART = 4096
+#: Recall that the number of leaves a query visits is chosen for, on rows of the sample held against the sample.
+RECALL, CALIBRATION = 0.95, 256
+#: Rows of a leaf, and queries of one in expectation, that one group holds.
+PART, QUERIES = 4096, 50_000
 
 
 @dataclass
@@ -74,6 +74,55 @@ def lifted(x: np.ndarray, lift: float) -> np.ndarray:
     return np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1, keepdims=True)))], axis=1)
 
 
+def calibrated(forest: Forest, sample: np.ndarray, rows: int, k: int, recall: float) -> int:
+    """Leaves to visit for the recall, by exact search in the sample: as many neighbours of a row there as it has k of all rows (one at least, farther than those sought).
+
+    The place of each leaf in a query's queue is that of its priority, the largest margin on its path on the wrong side.
+    """
+    x = lifted(sample, forest.lift)
+    own = np.arange(0, len(x), max(1, len(x) // CALIBRATION))[:CALIBRATION]
+    near = max(1, min(round(k * len(x) / max(rows, 1)), len(x) - 1))
+    if len(x) < 3 or not len(forest.normals):
+        return forest.leaves
+    places = np.full((len(forest.roots), len(x)), -1)
+    for t, root in enumerate(forest.roots):
+        places[t] = leaf_of(forest, x, root)
+    q = x[own].copy()
+    q[:, -1] = 0
+    margins = q @ forest.normals.T - forest.offsets
+    far = np.zeros((len(own), len(forest.normals)), np.float32)
+    leaf = np.full((len(own), forest.leaves), np.inf, np.float32)
+    for root in forest.roots:
+        if root < 0:
+            leaf[:, -1 - root] = 0
+    for n in range(len(forest.normals)):  # parents come before their children
+        m = margins[:, n]
+        for side, child in enumerate(forest.children[n]):
+            p = np.maximum(far[:, n], np.where((m >= 0) == bool(side), 0, np.abs(m)))
+            if child >= 0:
+                far[:, child] = p
+            else:
+                leaf[:, -1 - child] = p
+    needed = []
+    for i, row in enumerate(own):
+        score = sample @ sample[row]
+        score[row] = -np.inf
+        best = np.argpartition(-score, near - 1)[:near]
+        rank = np.empty(forest.leaves, np.int64)
+        rank[np.argsort(leaf[i], kind="stable")] = np.arange(forest.leaves)
+        needed.append(rank[places[:, best]].min(axis=0) + 1)
+    return int(np.quantile(np.concatenate(needed), recall, method="higher"))
+
+
+def leaf_of(forest: Forest, x: np.ndarray, root: int) -> np.ndarray:
+    at = np.full(len(x), root)
+    while (inner := np.flatnonzero(at >= 0)).size:
+        node = at[inner]
+        right = np.einsum("ij,ij->i", x[inner], forest.normals[node]) >= forest.offsets[node]
+        at[inner] = forest.children[node, right.astype(int)]
+    return -1 - at
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
@@ -86,12 +135,7 @@ def leaves_of(forest: Forest):
                 continue
             x = lifted(matrix(batch.column("embedding")), forest.lift)
             for root in forest.roots:
-                at = np.full(len(x), root)
-                while (inner := np.flatnonzero(at >= 0)).size:
-                    node = at[inner]
-                    right = np.einsum("ij,ij->i", x[inner], forest.normals[node]) >= forest.offsets[node]
-                    at[inner] = forest.children[node, right.astype(int)]
-                yield pa.RecordBatch.from_arrays([pa.array(-1 - at), batch.column("vec_id"), batch.column("embedding")], ["leaf", "vec_id", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array(leaf_of(forest, x, root)), batch.column("vec_id"), batch.column("embedding")], ["leaf", "vec_id", "embedding"])
 
     return assign
 
@@ -170,19 +214,22 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long"), "embedding").where(F.col("vec_id").isNotNull() & e.isNotNull() & fine)
 
 
-def neighbours(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, leaf: int = LEAF, probes: int = PROBES, share: float = SHARE) -> DataFrame:
+def neighbours(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, leaf: int = LEAF, probes: int | None = None, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest rows found for each row whose vec_id is divisible by `every`.
 
     vectors: vec_id and embedding. The trees are fitted to a sample, drawn by a hash of vec_id, of at most SAMPLE_ROWS
     rows and SAMPLE_BYTES bytes, which bounds the forest that is broadcast; every row is put in one leaf of each tree. Vectors are lifted
     to one length by one more component, so that nearness in the trees is the inner product's. A query follows all trees by one
-    queue of margins to `probes` leaves, or to `share` of all leaves if that is more. Leaves are dealt out in parts of at most about PART rows, so that a leaf full of copies is many groups;
-    each part keeps k rows for a query, scored in double precision on the vectors themselves.
+    queue of margins to `probes` leaves; by default as many as give the recall in the sample, searched exactly (`calibrated`): few where vectors
+    lie in clusters, a share of all leaves where they lie evenly in all directions, as no tree can part those. Leaves are dealt out in parts of at most about PART rows, so that a
+    leaf full of copies is many groups, and queries of a leaf in parts of about QUERIES; each part keeps k rows for a query, scored in double precision on the vectors themselves.
 
     Null, empty, zero and non-finite vectors, vectors of null components and rows of null vec_id take no part, nor do
     vectors whose length isn't the most frequent one. Rows of one vec_id are found once, by the best of their scores, and none by a query of that vec_id.
-    Ties go to the smaller vec_id. Fewer than k candidates: all of them, as the queue is followed until one tree has given k + 1 rows; no rows: no rows. Other columns are not looked at.
+    Ties go to the smaller vec_id. Fewer than k candidates: all of them, as the queue is followed until one tree has given k + 1 rows; no rows: no rows. Other columns,
+    whatever their names, are not looked at.
     """
+    spark = vectors.sparkSession
     rows = materialize(usable(vectors), "ann-vectors")
     sizes = rows.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v)).alias("longest")).orderBy(F.desc("n"), "d").first()
     if sizes is None:
@@ -191,19 +238,26 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TR
     most = max(100, min(SAMPLE_ROWS, SAMPLE_BYTES // (4 * sizes.d)))
     drawn = F.xxhash64(F.lit(13), "vec_id")
     sample = rows.where(F.pmod(drawn, F.lit(1_000_003)) <= 1_000_003 * min(1.0, 1.1 * most / sizes.n)).orderBy(drawn, "vec_id").limit(most).select("embedding").toArrow()
-    forest = fit(matrix(sample.column(0).combine_chunks()), float(np.sqrt(sizes.longest)), sizes.n, trees, leaf)
+    sample = matrix(sample.column(0).combine_chunks())
+    forest = fit(sample, float(np.sqrt(sizes.longest)), sizes.n, trees, leaf)
+    probes = probes or calibrated(forest, sample.astype(np.float32), sizes.n, k, recall)
     kind = vectors.schema["embedding"].dataType.simpleString()
     placed = materialize(rows.mapInArrow(leaves_of(forest), f"leaf long, vec_id long, embedding {kind}"), "ann-leaves")
     held = np.zeros(forest.leaves, np.int64)
     for r in placed.groupBy("leaf").count().collect():  # as many rows as the forest has leaves
         held[r.leaf] = r["count"]
-    queries = rows.where(F.col("vec_id") % every == 0).mapInArrow(probes_of(forest, held, max(probes, round(share * forest.leaves)), k), f"leaf long, query_id long, embedding {kind}")
-    parts = -(-held // PART)
-    split = [x for i in np.flatnonzero(parts > 1).tolist() for x in (F.lit(i), F.lit(int(parts[i])))]
-    number = F.coalesce(F.try_element_at(F.create_map(*split), F.col("leaf").cast("int")), F.lit(1)) if split else F.lit(1)
-    placed = placed.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "vec_id"), number).cast("int"))
-    queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), (number - 1).cast("int"))))
-    found = queries.groupBy("leaf", "part").cogroup(placed.groupBy("leaf", "part")).applyInArrow(rank(k), "query_id long, vec_id long, score double")
+    asked = rows.where(F.col("vec_id") % every == 0)
+    queries = asked.mapInArrow(probes_of(forest, held, probes, k), f"leaf long, query_id long, embedding {kind}")
+    large = np.flatnonzero(held > PART)  # a table of at most as many rows as the forest has leaves
+    parts = small_frame(spark, {"leaf": large.tolist(), "parts": (-(-held[large] // PART)).tolist()}, pa.schema([("leaf", pa.int64()), ("parts", pa.int64())]))
+    number = F.coalesce(F.col("parts"), F.lit(1))
+    shares = max(1, -(-asked.count() * probes // (forest.leaves * QUERIES)))
+    placed = placed.join(F.broadcast(parts), "leaf", "left").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "vec_id"), number).cast("int")).drop("parts")
+    placed = placed.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    queries = queries.join(F.broadcast(parts), "leaf", "left").withColumn("part", F.explode(F.sequence(F.lit(0), (number - 1).cast("int")))).drop("parts")
+    queries = queries.withColumn("share", F.pmod(F.xxhash64(F.lit(2), "query_id"), F.lit(shares)).cast("int"))
+    group = ["leaf", "part", "share"]
+    found = queries.groupBy(*group).cogroup(placed.groupBy(*group)).applyInArrow(rank(k), "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -629,6 +629,19 @@ def test_neighbours(spark):
     assert sorted((r.query_id, r["rank"]) for r in few) == [(0, k) for k in range(1, 6)]
 
 
+def test_neighbours_in_clusters_visit_few_leaves(spark):
+    rng = np.random.default_rng(14)
+    centres = rng.standard_normal((120, 24))
+    x = (centres[rng.integers(120, size=12_000)] + 0.15 * rng.standard_normal((12_000, 24))).astype(np.float32)
+    forest = ann.fit(x, float(np.sqrt((x * x).sum(axis=1).max())), len(x))
+    assert ann.calibrated(forest, x, len(x), 20, 0.95) <= 0.1 * forest.leaves
+    got = ann.neighbours(spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<float>"), every=100).collect()
+    score = x[::100].astype(np.float64) @ x.astype(np.float64).T
+    score[np.arange(120), np.arange(0, 12_000, 100)] = -np.inf
+    best = {int(q) * 100: set(np.argsort(-row)[:20].tolist()) for q, row in enumerate(score)}
+    assert len(got) == 2400 and np.mean([r.vec_id in best[r.query_id] for r in got]) >= 0.9
+
+
 def test_urls(spark):
     given = ["http://A.Example.org/es/1", "https://x.example.org/en/12?q=/es/", "https://example.org", "http://b.com/fr/a#x", "http://b.com/de/", "http://com/de/x", "none", None, "", "://h/p", "http://notorg/x", "ftp://net?x/y", "http://b.com/it/9"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(given)], "page_id long, url string, html string")
