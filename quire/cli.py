@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from .functions.scoring import Weights
 from .functions.text import nonempty
 from .operators import crossref, keys, matching, output, rawtext
 from .sources import readers, sinks
+from .store import materialize
 
 log = logging.getLogger("quire")
 
@@ -34,11 +36,12 @@ def match_files(spark: SparkSession, args: argparse.Namespace) -> None:
         log.warning("weights sum to %s, not to 1", weights.total())
     inputs, bibliography = readers.read_staged(spark, args.input), readers.read_staged(spark, args.bibliography)
     subjects, items = flat_records(inputs, "subject_index"), flat_records(bibliography, "item_index")
-    if args.cache:
-        sinks.cached_postings(items, args.cache, rebuild=args.force_rebuild)
+    indexed = sinks.cached_index(items, args.cache, rebuild=args.force_rebuild) if args.cache else None
     texts = items.select("item_index", "bibkey", output.flat_citation().alias("full_entry"))
-    found = matching.match(subjects, items, weights, args.top_n, args.min_score).join(texts, "item_index")
-    sinks.write_csv(output.match_rows(inputs, found, args.top_n, items.count()), args.output)
+    began, n = time.perf_counter(), subjects.count()
+    found = materialize(matching.match(subjects, items, weights, args.top_n, args.min_score, indexed=indexed), "matches")
+    each = (time.perf_counter() - began) * 1000 // max(n, 1)
+    sinks.write_csv(output.match_rows(inputs, found.join(texts, "item_index"), args.top_n, items.count(), search_time_ms=each), args.output)
 
 
 def with_keys(spark: SparkSession, parsed: DataFrame, path: str | None, args: argparse.Namespace) -> DataFrame:

@@ -23,8 +23,11 @@ def sorted_tokens(normal: Column) -> Column:
 
 
 def grams(s: Column) -> Column:
-    n = F.length(s)
-    return F.when(n >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.substring(s, i, F.lit(3))))).when(s.isNotNull(), F.array().cast("array<string>"))
+    def of(t: Column) -> Column:  # a variable of a lambda: the string is worked out once, and not for each of its positions
+        some = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 2, F.lit(1))), lambda i: F.substring(t, i, F.lit(3))))
+        return F.when(F.length(t) >= 3, some).when(t.isNotNull(), F.array().cast("array<string>"))
+
+    return F.transform(F.array(s), of)[0]
 
 
 def trigrams(text: Column) -> Column:

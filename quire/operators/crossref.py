@@ -14,15 +14,14 @@ TEXTS = ("publisher", "issue", "DOI", "type", "page", "source", "prefix", "volum
 LISTS = ("title", "author", "container-title", "short-container-title", "link", "alternative-id", "ISSN", "issn-type")
 
 
-def not_text(raw: Column, name: str) -> Column:
+def not_text(variant: Column, name: str) -> Column:
     """Whether a top-level field is something other than text, which a lenient reader would turn into text."""
-    variant = F.try_parse_json(raw)
     kind = F.schema_of_variant(F.try_variant_get(variant, f"$['{name}']", "variant"))
     return F.coalesce(~kind.isin("STRING"), F.lit(False))
 
 
-def not_list(raw: Column, name: str) -> Column:
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(raw), f"$['{name}']", "variant"))
+def not_list(variant: Column, name: str) -> Column:
+    kind = F.schema_of_variant(F.try_variant_get(variant, f"$['{name}']", "variant"))
     return F.coalesce(~kind.startswith("ARRAY"), F.lit(False))
 
 
@@ -35,14 +34,16 @@ def parse(raw: DataFrame, column: str = "raw", needs_journal: bool = True) -> Da
     """
     text = F.col(column)
     works = raw.withColumn("_work", F.from_json(text, CROSSREF, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    works = works.withColumn("_json", F.try_parse_json(text))  # once for all fields
     w = lambda name: F.col(f"_work.`{name}`")
-    kinds = F.array(*[F.when(not_text(text, c), c) for c in TEXTS], *[F.when(not_list(text, c), c) for c in LISTS])
+    json = F.col("_json")
+    kinds = F.array(*[F.when(not_text(json, c), c) for c in TEXTS], *[F.when(not_list(json, c), c) for c in LISTS])
     parts = [F.col(f"_work.`{c}`.`date-parts`") for c in ("issued", "published", "published-print", "published-online", "created", "deposited", "indexed")]
     null_part = [F.coalesce(F.exists(p, lambda day: day.isNull() | F.exists(day, lambda x: x.isNull())), F.lit(False)) for p in parts]
     journal = nonempty(F.get(w("container-title"), 0))
     problem = F.coalesce(
         F.when(text.isNull(), "no response"),
-        F.when(F.col("_work").isNull() | w("_corrupt").isNotNull() | F.try_parse_json(text).isNull(), "not valid JSON for a work"),
+        F.when(F.col("_work").isNull() | w("_corrupt").isNotNull() | json.isNull(), "not valid JSON for a work"),
         F.concat(F.lit("wrong type: "), nonempty(F.array_join(F.array_compact(kinds), ", "))),
         F.when(F.greatest(*null_part, F.lit(False)), "null in date parts"),
         F.when(F.lit(needs_journal) & journal.isNull(), "no container title"),

@@ -11,9 +11,10 @@ from .bibtex import first, people
 
 #: Fixed headings, tried in this order.
 MARKERS = ("References", "REFERENCES", "Bibliography", "BIBLIOGRAPHY", "Works Cited", "WORKS CITED", "Literature", "LITERATURE")
-#: Fixed signs of a new entry, by style of the list.
+#: Fixed signs of a new entry, by style of the list. In the first style a line of an author's name counts, too, if a year in brackets is in its first YEAR_WITHIN characters.
+YEAR_WITHIN, NAME, DATED = 80, r"^[A-Z][a-z]+", r"\(\d{4}[a-z]?\)"
 NEW_ENTRY = {
-    "initials": r"^[A-Z][a-z]+,\s+[A-Z]\.|^[—–]|^[A-Z][a-z]+.{0,73}?\(\d{4}[a-z]?\)",
+    "initials": r"^[A-Z][a-z]+,\s+[A-Z]\.|^[—–]",
     "dated": r"^[A-Z—].*\(\d{4}[a-z]?\)|^—",
     "capital": r"^[A-Z].*\(\d{4}[a-z]?\.?\)",
 }
@@ -52,13 +53,19 @@ def lines(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFra
     return cut.where(F.col("line") != "")
 
 
+def begins(line: Column, style: str) -> Column:
+    """Whether a line begins an entry of a list of the style."""
+    found = line.rlike(NEW_ENTRY[style])
+    return found | (line.rlike(NAME) & F.substring(line, 1, YEAR_WITHIN).rlike(DATED)) if style == "initials" else found
+
+
 def segment(rows: DataFrame, key: str = "doc_id", style: str = "initials") -> DataFrame:
     """key, entry_no and entry: a line that begins an entry, and those up to the next one, joined by spaces; lines before the first are dropped.
 
     A document's lines are ordered within that document alone, so that documents are spread over the cluster.
     """
     order = Window.partitionBy(key).orderBy("place")
-    marked = rows.withColumn("entry_no", F.count_if(F.col("line").rlike(NEW_ENTRY[style])).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    marked = rows.withColumn("entry_no", F.count_if(begins(F.col("line"), style)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), " ")
     return marked.where(F.col("entry_no") > 0).groupBy(key, "entry_no").agg(joined.alias("entry"))
 

@@ -71,12 +71,12 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(matching.score_batch(subjects(view), candidates(view), scoring.Weights(0.5, 0.3, 0.1, 0.1)), *matching.SCORES)
 
 
-@query(sql.scored(pairs=sql.ALL_PAIRS_SQL) + " SELECT subject_index, item_index, round(title_points, 6) AS title_points, round(author_points, 6) AS author_points, date_points, bonus_points FROM scored WHERE item_index % 10 = 1")
+@query(sql.scored(pairs=sql.ALL_PAIRS_SQL) + " SELECT subject_index, item_index, round(title_points, 6) AS title_points, round(author_points, 6) AS author_points, date_points, bonus_points FROM scored")
 def component_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unweighted components of all subjects with the items of one residue."""
+    """Unweighted components of all pairs."""
     view = bib_view(spark, sf_dir, ascii_only=True)
     points = matching.all_points(subjects(view), candidates(view), blocked=False)
-    return rounded(points.where("item_index % 10 = 1").drop("sure"), "title_points", "author_points")
+    return rounded(points.drop("sure"), "title_points", "author_points")
 
 
 @query(f"WITH {ASCII_SQL}, {sql.FEATURES_SQL} SELECT s.item_index AS subject_index, c.item_index, round({sql.jw('s.ts', 'c.ts')}, 6) AS ratio FROM subj s JOIN cand c ON s.family = c.family AND s.decade = c.decade")
@@ -151,7 +151,7 @@ def citation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bib_view(spark, sf_dir).select("item_index", output.flat_citation().alias("full_entry"))
 
 
-WIDE = ", ".join(f"coalesce(max(CASE WHEN rank = {j} THEN b.bibkey END), '') AS match_{j}_bibkey, coalesce(max(CASE WHEN rank = {j} THEN CAST(CAST(round(total_score, 2) AS DECIMAL(10, 2)) AS VARCHAR) END), '') AS match_{j}_score, coalesce(max(CASE WHEN rank = {j} THEN {CITE.replace('author', 'b.author', 1)} END), '') AS match_{j}_full_entry" for j in (1, 2, 3))
+WIDE = ", ".join(f"coalesce(max(CASE WHEN rank = {j} THEN b.bibkey END), '') AS match_{j}_bibkey, coalesce(max(CASE WHEN rank = {j} THEN CAST(CAST(CAST(round(total_score, 2) AS DECIMAL(10, 2)) AS DOUBLE) AS VARCHAR) END), '') AS match_{j}_score, coalesce(max(CASE WHEN rank = {j} THEN {CITE.replace('author', 'b.author', 1)} END), '') AS match_{j}_full_entry" for j in (1, 2, 3))
 
 
 @query(sql.ranked(top_n=3) + f" SELECT s.item_index AS subject_index, s.title AS staged_title, {WIDE}, CAST((SELECT count(*) FROM cand) AS BIGINT) AS candidates_searched FROM subj s LEFT JOIN ranked r ON r.subject_index = s.item_index LEFT JOIN bib b ON b.item_index = r.item_index GROUP BY 1, 2".replace("nullif(title", "nullif(b.title").replace("|| year ||", "|| b.year ||").replace("journal || '('", "b.journal || '('").replace("|| volume ||", "|| b.volume ||").replace("|| number ||", "|| b.number ||").replace("|| pages,", "|| b.pages,").replace("pages, publisher]", "pages, b.publisher]"))
@@ -199,16 +199,16 @@ GRID = ", ".join(f"('{i}', {t}, {a}, {d}, {b})" for i, (t, a, d, b) in enumerate
 
 
 @query(sql.scored(pairs=sql.ALL_PAIRS_SQL) + f""", w(config, wt, wa, wd, wb) AS (SELECT config, CAST(wt AS DOUBLE), CAST(wa AS DOUBLE), CAST(wd AS DOUBLE), CAST(wb AS DOUBLE) FROM (VALUES {GRID}) AS g(config, wt, wa, wd, wb)),
-tot AS (SELECT config, subject_index, item_index, title_points * wt + author_points * wa + date_points * wd + bonus_points * wb AS total FROM scored, w WHERE subject_index % 50 = 5),
+tot AS (SELECT config, subject_index, item_index, title_points * wt + author_points * wa + date_points * wd + bonus_points * wb AS total FROM scored, w),
 hit AS (SELECT config, subject_index, item_index, total FROM tot WHERE item_index = subject_index + 2),
 rk AS (SELECT h.config, h.subject_index, 1 + count(*) FILTER (WHERE t.total > h.total OR (t.total = h.total AND t.item_index < h.item_index)) AS rank FROM hit h JOIN tot t ON t.config = h.config AND t.subject_index = h.subject_index GROUP BY 1, 2),
-allc AS (SELECT config, item_index AS subject_index FROM w, subj WHERE item_index % 50 = 5),
+allc AS (SELECT config, item_index AS subject_index FROM w, subj),
 agg AS (SELECT a.config, avg(CASE WHEN rank = 1 THEN 1.0 ELSE 0.0 END) AS p, avg(CASE WHEN rank <= 5 THEN 1.0 ELSE 0.0 END) AS r, avg(CASE WHEN rank <= 5 THEN 1.0 / rank ELSE 0.0 END) AS m FROM allc a LEFT JOIN rk USING (config, subject_index) GROUP BY 1)
 SELECT config, round(p, 6) AS precision_at_1, round(r, 6) AS recall_at_5, round(m, 6) AS mrr FROM agg ORDER BY p DESC, m DESC, config LIMIT 10""")
 def weight_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """110 configurations from points computed once; the ten best."""
     view = bib_view(spark, sf_dir, ascii_only=True)
-    s = subjects(view).where("subject_index % 50 = 5")
+    s = subjects(view)
     points = matching.all_points(s, candidates(view), blocked=False).withColumnRenamed("subject_index", "case_id").withColumn("bibkey", F.concat(F.lit("key:"), F.col("item_index").cast("string")))
     cases = s.select(F.col("subject_index").alias("case_id"), F.concat(F.lit("key:"), (F.col("subject_index") + 2).cast("string")).alias("expected_bibkey"), F.lit("RIGHT_KEY").alias("annotation_type"))
     found = quality.search_weights(points, cases, quality.weight_table(spark, quality.grid()))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import matching
 from ..operators.blocking import postings
 from ..operators.output import record_rows
 
@@ -48,11 +49,23 @@ def cached_postings(items: DataFrame, folder: str, variant: str = "canonical", r
     return load_postings(spark, path)
 
 
+def cached_index(items: DataFrame, folder: str, rebuild: bool = False) -> DataFrame:
+    """What matching needs of items (`matching.index`), read from folder if it is there whole for the same content, else built and written."""
+    spark = items.sparkSession
+    path = f"{folder.rstrip('/')}/{fingerprint(items, 'matching')}"
+    if rebuild or not whole(spark, path):
+        matching.index(items, "item_index").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def whole(spark: SparkSession, path: str) -> bool:
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def load_postings(spark: SparkSession, path: str) -> DataFrame | None:
     """None if there is no whole index; TypeError if it is some other table."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker):
+    if not whole(spark, path):
         return None
     found = spark.read.schema("key string, item_index long, kind string").parquet(path)
     columns = set(spark.read.parquet(path).columns)

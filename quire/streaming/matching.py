@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.scoring import Weights
-from ..operators.matching import match
+from ..operators.matching import index, match
 from ..sources.sinks import in_batches
 
 
@@ -17,8 +17,9 @@ def read_records(spark: SparkSession, path: str, schema: str, files_per_trigger:
 
 
 def match_stream(subjects: DataFrame, items: DataFrame, output: str, checkpoint: str, weights: Weights = Weights(), top_n: int = 5, min_score: float = 0.0, available_now: bool = True) -> StreamingQuery:
-    """The best matches of each micro-batch of subjects, appended to output. Batches need no state of each other, as items are static."""
-    writer = subjects.writeStream.foreachBatch(in_batches(lambda batch: match(batch, items, weights, top_n, min_score), output)).option("checkpointLocation", checkpoint)
+    """The best matches of each micro-batch of subjects, appended to output. Batches need no state of each other, as items are static: they are indexed once, before the first."""
+    indexed = index(items, "item_index")
+    writer = subjects.writeStream.foreachBatch(in_batches(lambda batch: match(batch, None, weights, top_n, min_score, indexed=indexed), output)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 

@@ -1,3 +1,4 @@
+import numpy as np
 import random
 
 import pytest
@@ -99,3 +100,13 @@ def test_grid_and_weights():
     assert scoring.Weights().to_tuple() == (0.25, 0.25, 0.2, 0.3)
     assert scoring.Weights.partly(title=0.7).to_tuple() == (0.7, 0.3, 0.1, 0.1)
     assert scoring.Weights.partly(title=None) == scoring.Weights()
+
+
+def test_jaro_winkler_by_bits_is_that_by_places():
+    rng = np.random.default_rng(1)
+    letters = list("abcdefgh é日")
+    left, right = (["".join(rng.choice(letters, rng.integers(0, 80))) for _ in range(600)] for _ in range(2))
+    left[:100] = right[:100]
+    every = similarity.jaro_winkler_pairs(left, right)
+    one = [similarity.compared(similarity.codes([a], -1), similarity.codes([b], -2))[0] for a, b in zip(left, right)]
+    assert np.array_equal(every, np.array(one))

@@ -1,3 +1,4 @@
+import re
 import io
 import json
 import zipfile
@@ -76,6 +77,81 @@ def test_works_source_prunes_years(spark):
     assert readers.WorksReader({"from": "2000", "until": "1999"}).partitions() == []
 
 
+@pytest.fixture
+def works_server():
+    """Two pages of works for a journal by cursor, and one work by DOI."""
+    import threading
+    import urllib.parse
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):  # noqa: N802
+            url = urllib.parse.urlparse(self.path)
+            query = urllib.parse.parse_qs(url.query)
+            work = lambda title, year: {"title": [title], "container-title": ["J"], "author": [{"family": "Hegel"}], "issued": {"date-parts": [[year]]}}
+            if url.path == "/journals/1234/works":
+                year = int(query["filter"][0].split(":")[1].split(",")[0])
+                message = {"items": [work(f"t{i}", year) for i in range(1000 if query["cursor"] == ["*"] else 3)], "next-cursor": "more"}
+            else:
+                message = work(urllib.parse.unquote(url.path), 1948)
+            body = json.dumps({"message": message}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}"
+    server.shutdown()
+
+
+def test_works_through_the_source_and_the_command_line(spark, works_server, tmp_path):
+    readers.register(spark)
+    works = spark.read.format("works").options(base=works_server, issn="1234", until="1992", **{"from": "1990"}).load()
+    assert {r.year: r["count"] for r in works.groupBy("year").count().collect()} == {1990: 1003, 1991: 1003, 1992: 1003}
+    assert works.where("year = 1991").count() == 1003
+    one = crossref.parse(spark.read.format("works").options(base=works_server, doi="10.1/x").load()).first()
+    assert one.parsing_status == "success" and one.out.title == "/works/10.1/x"
+    from quire import cli
+
+    cli.journal(spark, cli.parser().parse_args(["journal", "--base", works_server, "--issn", "1234", "--first", "1990", "--until", "1990", "--output", str(tmp_path / "out")]))
+    assert readers.read_csv(spark, str(tmp_path / "out")).where("parsing_status = 'success'").count() == 1003
+
+
+def test_matches_of_a_kept_index(spark, tmp_path):
+    from quire import cli
+
+    lines = ["bibkey,title,author,date,journal"] + [f'k{i},Title number {i} of words,"Family{i}, Given",19{i:02d},J' for i in range(30)]
+    (tmp_path / "bib.csv").write_text("\n".join(lines))
+    (tmp_path / "in.csv").write_text("\n".join([lines[0], lines[8], lines[21]]))
+    out = []
+    for extra in ([], ["--cache", str(tmp_path / "kept")], ["--cache", str(tmp_path / "kept")]):
+        cli.match_files(spark, cli.parser().parse_args(["match", "--bibliography", str(tmp_path / "bib.csv"), "--input", str(tmp_path / "in.csv"), "--output", str(tmp_path / "out"), *extra]))
+        out.append(sorted((r.match_1_bibkey, r.match_1_score, r.match_2_bibkey) for r in readers.read_csv(spark, str(tmp_path / "out")).collect()))
+    assert out[0] == out[1] == out[2] and [x[0] for x in out[0]] == ["k20", "k7"]
+    assert len(list((tmp_path / "kept").iterdir())) == 1
+
+
+def test_an_entry_has_its_year_in_the_first_80_characters(spark):
+    from quire.operators import reflist
+
+    rows = [f"Name {'x' * n} (1999) rest" for n in (10, 68, 69, 70, 90)] + ["Adams, E. no year", "— (1990) same", "lower (1990)"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "i int, line string")
+    got = [r.b for r in frame.select("i", reflist.begins(F.col("line"), "initials").alias("b")).orderBy("i").collect()]
+    assert got == [bool(re.match("[A-Z][a-z]+", r) and re.search(r"\(\d{4}[a-z]?\)", r[:80])) or i in (5, 6) for i, r in enumerate(rows)] and got[1] and not got[4]
+
+
+def test_score_text_is_the_shortest(spark):
+    from quire.operators import output
+
+    rows = [(1, j, f"k{j}", "e", x) for j, x in enumerate((12.5, 12.0, 3.14159, 100.256), 1)]
+    got = output.wide(spark.createDataFrame(rows, "subject_index int, rank int, bibkey string, full_entry string, total_score double"), 4).first()
+    assert [got[f"match_{j}_score"] for j in (1, 2, 3, 4)] == ["12.5", "12.0", "3.14", "100.26"]
+
+
 def test_json_records(spark, tmp_path):
     (tmp_path / "one.json").write_text('{"title": "A", "editors": [{"given": "G", "family": "F"}], "number": "3"}')
     (tmp_path / "two.json").write_text('[{"title": "B", "authors": [{"family": "X"}], "start_page": "1", "year": 1999}, {"year": 3}]')
