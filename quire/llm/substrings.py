@@ -69,13 +69,13 @@ def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def repeats(docs: DataFrame, least_words: int = 20) -> DataFrame:
-    """doc_id, start, end (code points, end exclusive), n_words, copies, first, tag of the parts of passages that occur again, in other documents or in the same one.
+def repeats(docs: DataFrame, least_words: int = 20, within: bool = False) -> DataFrame:
+    """doc_id, start, end (code points, end exclusive), n_words, copies, first, tag of the parts of passages that occur in several documents, or, with `within`, at several places.
 
     Every whole text is cut where a hash of the last bytes says so, so that an insertion moves the cuts around it and no
-    others. A chunk is repeated if its digest occurs at several places; a run of repeated chunks is a passage if it
-    touches more than least_words words. A passage is given in parts: of those with first, this is the first place of every chunk (by doc_id, tag and position); all
-    others may go, as their chunks stay at another place. n_words is that of the part; copies: the largest number of a chunk's places. Digests are counted
+    others. A chunk is repeated if several documents hold its digest (with `within`: if it is at several places, be they in one document); a run of repeated
+    chunks is a passage if it touches more than least_words words. A passage is given in parts: of those with first, this document (place) is the first of every
+    chunk, by doc_id and tag (and position); all others may go, as their chunks stay elsewhere. n_words is that of the part; copies: the largest number of a chunk's places. Digests are counted
     before they are shuffled, only rows that may have a repeated digest (by a bitmap of fixed size) are moved, and the join back is on the side that adaptive execution can split.
 
     Null, empty and short texts have no passage. tag is a hash of doc_id and text: rows that agree in both are one document, and no repeats of
@@ -86,7 +86,7 @@ def repeats(docs: DataFrame, least_words: int = 20) -> DataFrame:
     chunks = materialize(named.mapInArrow(chunk, schema), "chunks")
     often = materialize(chunks.groupBy("digest").count().where("count > 1").select("digest"), "chunks-often")
     some = chunks.where(maybe_in(bitmap(often, "digest"))(F.col("digest")))
-    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tag", "no")
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tag", *(["no"] if within else []))
     known = some.groupBy("digest").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.count("*").alias("copies"))
     repeated = known.where("least <> most").select("digest", "least", "copies")
     at = ["doc_id", "tag"]
@@ -127,6 +127,6 @@ def remove(docs: DataFrame, passages: DataFrame) -> DataFrame:
     return marked.where(~touched).select(docs.columns).unionByName(rest.select(docs.columns))
 
 
-def dedup(docs: DataFrame, least_words: int = 20) -> DataFrame:
+def dedup(docs: DataFrame, **options) -> DataFrame:
     """docs with each repeated passage kept at its first place alone; see `repeats` and `remove`."""
-    return remove(docs, repeats(docs, least_words))
+    return remove(docs, repeats(docs, **options))

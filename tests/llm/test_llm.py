@@ -409,9 +409,11 @@ def test_substrings(spark):
     texts = [(i, f"{words(40 + i)} {passage} {words(30)}") for i in range(5)] + [(50, words(200)), (51, None), (52, ""), (53, "kurz"), (53, "kurz"), (60, words(100)), (60, f"{words(9)} {other} {words(9)} {other} x"), (61, f"{passage} {other}"), (62, f"y {passage} {other}"), (None, f"{words(20)} {other}")]
     texts += [texts[10]]
     frame = spark.createDataFrame(texts, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("tag", "key", "gone", "mark", "_gone", "first", "no")})
-    found = substrings.repeats(frame).collect()
-    assert {r.doc_id for r in found} == {0, 1, 2, 3, 4, 60, 61, 62, None}
-    kept = substrings.dedup(frame)
+    texts_alone = spark.createDataFrame([(1, f"{other} {other} z"), (2, "short")], "doc_id long, text string")
+    assert substrings.repeats(texts_alone).count() == 0 and substrings.repeats(texts_alone, within=True).count() > 0
+    found = substrings.repeats(frame, within=True).collect()
+    assert {r.doc_id for r in found} == {r.doc_id for r in substrings.repeats(frame).collect()} == {0, 1, 2, 3, 4, 60, 61, 62, None}
+    kept = substrings.dedup(frame, within=True)
     assert kept.columns == frame.columns
     rows = kept.collect()
     assert len(rows) == len(texts)
