@@ -19,6 +19,8 @@ SAMPLE_BYTES, SAMPLE_ROWS = 1 << 24, 20_000
 TREES, LEAF = 10, 200
 #: Recall that the number of leaves a query visits is chosen for, on rows of the sample held against the sample.
 RECALL, CALIBRATION = 0.95, 256
+#: A query's bound is the score that WIDE * k of all rows reach, by the sample, in single precision, which SLACK allows for.
+WIDE, SLACK = 3, 1e-5
 #: Rows of a leaf, and queries of one in expectation, that one group holds.
 PART, QUERIES = 4096, 50_000
 
@@ -140,7 +142,7 @@ def leaves_of(forest: Forest):
     return assign
 
 
-def probes_of(forest: Forest, sizes: np.ndarray, probes: int, k: int):
+def probes_of(forest: Forest, sizes: np.ndarray, probes: int, k: int, sample: np.ndarray, place: int):
     """Leaves in the order of the queue that all trees share, until `probes` are visited and the ones of one tree hold k + 1 rows."""
     tree_of = np.zeros(forest.leaves, np.int64)
     for t, root in enumerate(forest.roots):
@@ -156,7 +158,10 @@ def probes_of(forest: Forest, sizes: np.ndarray, probes: int, k: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = lifted(matrix(batch.column("embedding")), forest.lift)
+            plain = matrix(batch.column("embedding")).astype(np.float32)
+            near = plain @ sample.T
+            bound = -np.partition(-near, min(place, len(sample) - 1), axis=1)[:, min(place, len(sample) - 1)]  # the query itself may be in the sample
+            x = lifted(plain, forest.lift)
             x[:, -1] = 0
             rows, leaves = [], []
             margins = x @ forest.normals.T - forest.offsets
@@ -180,27 +185,28 @@ def probes_of(forest: Forest, sizes: np.ndarray, probes: int, k: int):
                         rows.append(i)
                         leaves.append(leaf)
             own = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), own.column("vec_id"), own.column("embedding")], ["leaf", "query_id", "embedding"])
+            yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), own.column("vec_id"), own.column("embedding"), pa.array(bound.astype(np.float64)[rows])], ["leaf", "query_id", "embedding", "low"])
 
     return search
 
 
 def rank(k: int):
     def best(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        """The k largest inner products of each query with the rows of one part of a leaf."""
+        """The k largest inner products of each query with the rows of one part of a leaf, from the query's bound on."""
         rows = rows.sort_by("vec_id")
         ids, q = rows.column("vec_id").to_numpy(), queries.column("query_id").to_numpy()
         out: list = []
         if len(ids) and len(q):
             x = np.stack(rows.column("embedding").to_numpy()).astype(np.float64)
             y = np.stack(queries.column("embedding").to_numpy()).astype(np.float64)
+            low = queries.column("low").to_numpy()
             for at in range(0, len(y), 256):
                 own = q[at : at + 256]
                 score = np.einsum("ik,jk->ij", y[at : at + 256], x)  # each sum in the same order, so that equal vectors tie
                 score[own[:, None] == ids[None, :]] = -np.inf
                 top = np.argsort(-score, axis=1, kind="stable")[:, :k]
                 value = np.take_along_axis(score, top, axis=1)
-                good = value > -np.inf
+                good = (value > -np.inf) & (value >= low[at : at + 256, None] - SLACK)
                 out.append((np.repeat(own, good.sum(axis=1)), ids[top][good], value[good]))
         parts = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table(parts, names=["query_id", "vec_id", "score"])
@@ -222,7 +228,8 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TR
     to one length by one more component, so that nearness in the trees is the inner product's. A query follows all trees by one
     queue of margins to `probes` leaves; by default as many as give the recall in the sample, searched exactly (`calibrated`): few where vectors
     lie in clusters, a share of all leaves where they lie evenly in all directions, as no tree can part those. Leaves are dealt out in parts of at most about PART rows, so that a
-    leaf full of copies is many groups, and queries of a leaf in parts of about QUERIES; each part keeps k rows for a query, scored in double precision on the vectors themselves.
+    leaf full of copies is many groups, and queries of a leaf in parts of about QUERIES; each part keeps the k nearest rows of a query, scored in double precision on the vectors themselves, from the score on that WIDE * k of all rows
+    reach by the sample; a query that finds fewer than k so visits its leaves once more without that bound.
 
     Null, empty, zero and non-finite vectors, vectors of null components and rows of null vec_id take no part, nor do
     vectors whose length isn't the most frequent one. Rows of one vec_id are found once, by the best of their scores, and none by a query of that vec_id.
@@ -247,17 +254,28 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20, trees: int = TR
     for r in placed.groupBy("leaf").count().collect():  # as many rows as the forest has leaves
         held[r.leaf] = r["count"]
     asked = rows.where(F.col("vec_id") % every == 0)
-    queries = asked.mapInArrow(probes_of(forest, held, probes, k), f"leaf long, query_id long, embedding {kind}")
+    flat = np.ascontiguousarray(sample, np.float32)
+    place = max(1, round(WIDE * k * len(sample) / sizes.n))
     large = np.flatnonzero(held > PART)  # a table of at most as many rows as the forest has leaves
     parts = small_frame(spark, {"leaf": large.tolist(), "parts": (-(-held[large] // PART)).tolist()}, pa.schema([("leaf", pa.int64()), ("parts", pa.int64())]))
     number = F.coalesce(F.col("parts"), F.lit(1))
     shares = max(1, -(-asked.count() * probes // (forest.leaves * QUERIES)))
     placed = placed.join(F.broadcast(parts), "leaf", "left").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "vec_id"), number).cast("int")).drop("parts")
     placed = placed.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    queries = queries.join(F.broadcast(parts), "leaf", "left").withColumn("part", F.explode(F.sequence(F.lit(0), (number - 1).cast("int")))).drop("parts")
-    queries = queries.withColumn("share", F.pmod(F.xxhash64(F.lit(2), "query_id"), F.lit(shares)).cast("int"))
     group = ["leaf", "part", "share"]
-    found = queries.groupBy(*group).cogroup(placed.groupBy(*group)).applyInArrow(rank(k), "query_id long, vec_id long, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+    def found(queries: DataFrame, bounded: bool) -> DataFrame:
+        visits = queries.mapInArrow(probes_of(forest, held, probes, k, flat, place), f"leaf long, query_id long, embedding {kind}, low double")
+        visits = visits if bounded else visits.withColumn("low", F.lit(float("-inf")))
+        visits = visits.join(F.broadcast(parts), "leaf", "left").withColumn("part", F.explode(F.sequence(F.lit(0), (number - 1).cast("int")))).drop("parts")
+        visits = visits.withColumn("share", F.pmod(F.xxhash64(F.lit(2), "query_id"), F.lit(shares)).cast("int"))
+        rows_ = visits.groupBy(*group).cogroup(placed.groupBy(*group)).applyInArrow(rank(k), "query_id long, vec_id long, score double")
+        return rows_.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+    best = materialize(found(asked, True), "ann-found")
+    enough = best.groupBy("query_id").count().where(F.col("count") >= k).select(F.col("query_id").alias("vec_id"))
+    short = materialize(asked.join(enough, "vec_id", "left_anti"), "ann-short")
+    if not short.isEmpty():  # their leaves hold fewer than k rows from the bound on: once more without it
+        best = best.join(short.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(found(short, False))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
