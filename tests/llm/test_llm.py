@@ -365,6 +365,14 @@ def test_lines_against_all_pairs(spark, sizes, share, recall):
     assert got <= want and len(got) >= recall * len(want) and len(want) > 60
 
 
+@pytest.mark.parametrize("sizes,share", [((10, 11, 12, 13, 14), 0.2), ((4, 5, 9, 15, 17, 24, 25, 39), 0.2), ((130, 160, 250), 0.2)])
+def test_lines_lose_no_link(spark, sizes, share):
+    for seed in (21, 22, 23)[: 1 if max(sizes) > 100 else 3]:
+        texts = edited_lines(seed, sizes, share)
+        want = brute_lines(texts)
+        assert {(r.doc_id, r.no) for r in lines.dropped(spark.createDataFrame(texts, "doc_id long, text string")).collect()} == want and len(want) > 50
+
+
 def test_lines_in_large_groups(spark):
     rng = np.random.default_rng(12)
     base = [f"base{i}" for i in range(30)]
