@@ -391,6 +391,14 @@ def test_lines_in_large_groups(spark):
     assert {r.node: r.component for r in ends[0]} == {r.node: r.component for r in ends[1]} == {i: i % 4 for i in range(40)}
 
 
+def test_lines_go_on_only_where_they_may_be_similar(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    texts = [(k, " ".join(f"w{i}" for i in rng.integers(0, 4000, 150))) for k in range(60)]
+    kept, real = [], lines.links
+    monkeypatch.setattr(lines, "links", lambda shared, *a, **b: (kept.append(shared.count()), real(shared, *a, **b))[1])
+    assert lines.dropped(spark.createDataFrame(texts, "doc_id long, text string")).count() == 0 and kept[0] <= 4
+
+
 def test_line_prints_count_bits():
     rng = np.random.default_rng(3)
     sizes = np.array([1, 2, 255, 256, 700, 3])
