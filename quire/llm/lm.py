@@ -19,6 +19,8 @@ SHORTLIST, BROADCAST, CLASSES = 4096, 65_536, 64
 WINDOW, LANES, SCORE_LANES = 32, 48, 512
 #: Tokens that a worker gathers before it scores them, and distinct words before it hands on their counts.
 GATHERED, COUNTED = 1_500_000, 400_000
+#: Parts of the training texts after which the workers' weights are averaged, tokens that a worker learns from at once, lanes and rate of that learning.
+ROUNDS, LEARNT, LEARN_LANES, RATE = 4, 400_000, 256, 0.003
 END = 0
 
 
@@ -107,8 +109,8 @@ def log_probabilities(model: Model, h: np.ndarray, ids: np.ndarray) -> np.ndarra
     return p
 
 
-def train(counts: Counts, texts: list[list[bytes]], hidden: int = 24, passes: int = 3, seed: int = 3) -> Model:
-    """Truncated backpropagation in lanes of whole texts, the state carried from window to window; Adam."""
+def train(counts: Counts, texts: list[list[bytes]], hidden: int = 24, passes: int = 3, seed: int = 3, start: Model | None = None, most: float = 0.01, lanes_: int = LANES) -> Model:
+    """Truncated backpropagation in lanes of whole texts, the state carried from window to window; Adam. Goes on from `start`, if given."""
     short = np.r_[counts.documents, counts.counts[: SHORTLIST - 1]]
     bounds = class_bounds(short, CLASSES)
     classes = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -119,7 +121,8 @@ def train(counts: Counts, texts: list[list[bytes]], hidden: int = 24, passes: in
         "X": rng.standard_normal((k + 1, 3 * hidden)) * 0.1, "U": rng.standard_normal((hidden, 3 * hidden)) * hidden**-0.5,
         "C": np.zeros((hidden, n_classes)), "c": np.log(mass / mass.sum()), "O": np.zeros((k, hidden)), "o": np.log(short + 0.5),
     }
-    w = {name: x.astype(np.float32) for name, x in w.items()}
+    w = {name: x.astype(np.float32) for name, x in w.items()} if start is None else {name: x.copy() for name, x in start.w.items()}
+    hidden = len(w["U"])
     model = Model(counts, classes, bounds, w)
     known = {x: i + 1 for i, x in enumerate(counts.words[: SHORTLIST - 1])}
     m, v = ({name: np.zeros_like(x) for name, x in w.items()} for _ in range(2))
@@ -129,12 +132,13 @@ def train(counts: Counts, texts: list[list[bytes]], hidden: int = 24, passes: in
         for t in rng.permutation(len(texts)):
             stream += [known.get(x, k) for x in texts[t]]
             stream.append(END)
-        length = len(stream) // LANES
-        if length < 2:
+        n_lanes = max(1, min(lanes_, len(stream) // WINDOW))
+        length = -(-len(stream) // n_lanes)
+        if not length:
             return model
-        lanes = np.array(stream[: length * LANES], np.int64).reshape(LANES, length).T
+        lanes = np.array(stream + [END] * (length * n_lanes - len(stream)), np.int64).reshape(n_lanes, length).T
         total_steps = total_steps or passes * (length // WINDOW + 1)
-        h = np.zeros((LANES, hidden), np.float32)
+        h = np.zeros((n_lanes, hidden), np.float32)
         for at in range(0, length, WINDOW):
             now += 1
             ids = lanes[at : at + WINDOW]
@@ -160,8 +164,8 @@ def train(counts: Counts, texts: list[list[bytes]], hidden: int = 24, passes: in
                     e /= len(target)
                     g["O"][lo:hi], g["o"][lo:hi] = e.T @ flat[rows], e.sum(axis=0)
                     dh[rows] += e @ w["O"][lo:hi]
-            dh = dh.reshape(len(ids), LANES, hidden)
-            carry = np.zeros((LANES, hidden), np.float32)
+            dh = dh.reshape(len(ids), n_lanes, hidden)
+            carry = np.zeros((n_lanes, hidden), np.float32)
             for t in reversed(range(len(ids))):
                 old, z, r, c, a_c = saved[t]
                 d = np.where((ids[t] == END)[:, None], np.float32(0), carry)
@@ -171,7 +175,7 @@ def train(counts: Counts, texts: list[list[bytes]], hidden: int = 24, passes: in
                 np.add.at(g["X"], ids[t], gate)
                 g["U"] += old.T @ back
                 carry = d * z + back @ w["U"].T + dh[t]
-            rate = 0.01 * min(1.0, 2 * (1 - now / (total_steps + 1)))
+            rate = most * min(1.0, 2 * (1 - now / (total_steps + 1)))
             for name in w:
                 m[name] += 0.1 * (g[name] - m[name])
                 v[name] += 0.01 * (g[name] ** 2 - v[name])
@@ -179,6 +183,59 @@ def train(counts: Counts, texts: list[list[bytes]], hidden: int = 24, passes: in
     return model
 
 
+def learner(model: Model):
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """text -> weights, n: the model's weights after one pass over all texts of the task, and how many tokens it has read."""
+        now, held, n, total = model, [], 0, 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.append(words_of(text))
+                n += len(held[-1]) + 1
+                if n >= LEARNT:
+                    now, held, n, total = train(model.counts, held, passes=1, start=now, most=RATE, lanes_=LEARN_LANES), [], 0, total + n
+        if held:
+            now, total = train(model.counts, held, passes=1, start=now, most=RATE, lanes_=LEARN_LANES), total + n
+        if total:
+            yield packed(now.w, total)
+
+    return learn
+
+
+def packed(w: dict[str, np.ndarray], n: int) -> pa.RecordBatch:
+    flat = np.concatenate([w[name].ravel() for name in sorted(w)]).astype(np.float32)
+    return pa.RecordBatch.from_arrays([pa.array([flat.tobytes()], pa.binary()), pa.array([n], pa.int64())], ["weights", "n"])
+
+
+def mean(rows: Iterator[tuple[bytes, int]]) -> tuple[np.ndarray, int]:
+    """Mean of weights by tokens."""
+    flat, total = np.zeros(0), 0
+    for weights, n in rows:
+        x = np.frombuffer(weights, np.float32) * float(n)
+        flat, total = (flat + x if total else x), total + n
+    return flat / max(total, 1), total
+
+
+def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    flat, total = mean((w, n) for batch in batches for w, n in zip(*(c.to_pylist() for c in batch.columns)))
+    if total:
+        yield packed({"": flat}, total)
+
+
+def averaged(model: Model, docs: DataFrame) -> Model:
+    """The model after one pass over all texts of docs (doc_id, text), in ROUNDS parts by a hash of doc_id: the tasks of a part begin with the same
+    weights, and their means by tokens are what the next part begins with. The driver gets 16 rows of weights a part."""
+    for part in range(ROUNDS):
+        some = docs.where(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(ROUNDS)) == part).select("text")
+        rows = some.mapInArrow(learner(model), "weights binary, n long").repartition(16).mapInArrow(means, "weights binary, n long").collect()
+        flat, total = mean((bytes(r.weights), r.n) for r in rows)
+        if total:
+            names = sorted(model.w)
+            ends = np.cumsum([model.w[name].size for name in names])[:-1]
+            w = {name: x.astype(np.float32).reshape(model.w[name].shape) for name, x in zip(names, np.split(flat, ends))}
+            model = Model(model.counts, model.classes, model.bounds, w)
+    return model
+
+
 def document_scores(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihoods of whole documents (ids with the end last), read in lanes whose state goes on over windows."""
     w, hidden = model.w, model.w["U"].shape[0]
@@ -297,8 +354,8 @@ def sample(docs: DataFrame, tokens: int, documents: int, seed: int = 3) -> list[
 def held_out_scores(docs: DataFrame, tokens: int = 400_000, documents: int = 2_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row of docs (doc_id, text).
 
-    Learns from the rows outside fold 1 of 5: words are counted over all of them; the network is trained on at most
-    `documents` whole texts of about `tokens` tokens. A token's probability is that of its class times that of the word
+    Learns from the rows outside fold 1 of 5: words are counted over all of them; the network begins with weights trained on at most
+    `documents` whole texts of about `tokens` tokens, and then learns from all texts (`averaged`). A token's probability is that of its class times that of the word
     in its class, both by the network's state, for the SHORTLIST most frequent tokens; for all others it is that of the class
     of the rest times the word's share of the rest's counts, smoothed by a half. Counts of the BROADCAST most frequent
     words go to the workers; rarer words, none of which is frequent, are joined to the table of counts.
@@ -309,7 +366,7 @@ def held_out_scores(docs: DataFrame, tokens: int = 400_000, documents: int = 2_0
     marked = docs.select("doc_id", "text", (fold(F.col("doc_id"), 5) == 1).alias("held_out"))
     training = marked.where(~F.col("held_out"))
     table, counts = corpus_counts(training)
-    model = train(counts, sample(training, tokens, documents))
+    model = averaged(train(counts, sample(training, tokens, documents)), training)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, own double, rare array<binary>"
     narrow = marked.select(F.col("doc_id").cast("long"), "held_out", "text")
     scored = materialize(narrow.mapInArrow(scorer(model), schema).withColumn("row", F.monotonically_increasing_id()), "lm-scored")

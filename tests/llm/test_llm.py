@@ -608,6 +608,16 @@ def test_language_model(docs, rows):
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 
+def test_language_model_learns_from_all_texts(spark):
+    words = [f"w{i}".encode() for i in range(240)]
+    counts = lm.Counts(280, 241, 40, words, np.ones(240, np.int64))
+    first = lm.train(counts, [words[i : i + 6] for i in range(0, 12, 6)], hidden=5)
+    docs = spark.createDataFrame([(i, " ".join(f"w{6 * i + j}" for j in range(6))) for i in range(40)], "doc_id long, text string").repartition(3)
+    last = lm.averaged(first, docs)
+    assert all(x.shape == last.w[name].shape and np.isfinite(last.w[name]).all() for name, x in first.w.items())
+    assert (np.abs(last.w["X"] - first.w["X"]).max(axis=1) > 0)[1:241].all()  # each word is in one text
+
+
 def test_language_model_lanes_score_each_document_alone():
     counts = lm.Counts(1000, 30, 20, [f"w{i}".encode() for i in range(25)], np.arange(50, 25, -1))
     rng = np.random.default_rng(9)
