@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -670,6 +671,40 @@ def test_neighbours_in_clusters_visit_few_leaves(spark):
     assert len(got) == 2400 and np.mean([r.vec_id in best[r.query_id] for r in got]) >= 0.9
 
 
+def test_visits_leave_the_search_in_pieces_and_cells_find_the_same(spark):
+    rng = np.random.default_rng(15)
+    x = rng.standard_normal((6_000, 24)).astype(np.float32)
+    x[1::50] = x[1]  # copies
+    forest = ann.fit(x, float(np.sqrt((x * x).sum(axis=1).max())), len(x), leaf=40)
+    leaves = np.stack([ann.leaf_of(forest, ann.lifted(x, forest.lift), root) for root in forest.roots], axis=1)
+    held, k, probes = np.bincount(leaves.ravel(), minlength=forest.leaves), 20, 300
+    vectors = lambda ids: pa.array([v.tolist() for v in x[ids]], pa.list_(pa.float32()))
+    asked = np.arange(0, 6_000, 5)
+    batch = pa.RecordBatch.from_arrays([pa.array(asked), vectors(asked)], ["vec_id", "embedding"])
+    visits = list(ann.probes_of(forest, held, probes, k, x, 60)(iter([batch])))
+    assert max(b.num_rows for b in visits) <= 1 << 18 and sum(b.num_rows for b in visits) >= 300 * len(asked)
+    query, leaf = (np.concatenate([b.column(c).to_numpy() for b in visits]) for c in ("query_id", "leaf"))
+    priority = ann.priorities(forest, np.c_[ann.lifted(x[asked], forest.lift)[:, :-1], np.zeros(len(asked))].astype(np.float32))
+    reaches = pa.Table.from_batches(ann.reaches_of(forest, held, probes, k, x, 60)(iter([batch])))
+    rows = pa.table({"vec_id": np.arange(6_000), "embedding": vectors(np.arange(6_000)), "leaves": pa.array(leaves.tolist(), pa.list_(pa.int32()))})
+    got = ann.cell(forest, k)(reaches, rows).to_pydict()
+    y = x.astype(np.float64)
+    low, far = (reaches[c].to_numpy() for c in ("low", "far"))
+    for n, q in enumerate(asked[:200].tolist()):
+        seen = np.flatnonzero(priority[:, n] <= far[n] + 1e-5)  # leaves of equal priority all count
+        assert set(leaf[query == q]) <= set(seen)
+        score = np.einsum("jk,ik->ij", y, y[q : q + 1])[0]
+        may = [i for i in np.flatnonzero(score >= low[n] * np.linalg.norm(y[q]) * forest.lift).tolist() if i != q and np.isin(leaves[i], seen).any()]
+        want = sorted(may, key=lambda i: (-score[i], i))[:k]
+        assert [i for p, i in zip(got["query_id"], got["vec_id"]) if p == q] == want
+    few = np.where(np.arange(len(held)) % 7 == 0, 1, 0) * (held > 0)  # leaves of a row at most: on until those of one tree hold k + 1
+    far = ann.reach(priority[:, :9].copy(), few, ann.trees_of(forest), 1, 3)
+    visits = pa.Table.from_batches(ann.probes_of(forest, few, 1, 3, x, 60)(iter([batch.slice(0, 9)])))
+    for i, q in enumerate(asked[:9]):
+        own = visits["leaf"].to_numpy()[visits["query_id"].to_numpy() == q]
+        assert len(own) >= 4 and priority[own, i].max() == pytest.approx(far[i], abs=1e-5)
+
+
 def test_urls(spark):
     given = ["http://A.Example.org/es/1", "https://x.example.org/en/12?q=/es/", "https://example.org", "http://b.com/fr/a#x", "http://b.com/de/", "http://com/de/x", "none", None, "", "://h/p", "http://notorg/x", "ftp://net?x/y", "http://b.com/it/9"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(given)], "page_id long, url string, html string")
