@@ -671,6 +671,24 @@ def test_neighbours_in_clusters_visit_few_leaves(spark):
     assert len(got) == 2400 and np.mean([r.vec_id in best[r.query_id] for r in got]) >= 0.9
 
 
+def test_pairs_that_share_many_keys_are_linked_once(spark):
+    class Same(spans.Held):
+        def close(self, x, y):
+            return np.arange(len(x))
+
+        def similar(self, i, j):
+            return self.values[i] == self.values[j]
+
+    shared = [(int(zlib.crc32(b"%d %d" % (pair, k))), 2 * pair + side) for pair in range(200) for k in range(12) for side in (0, 1)] + [(-1, n) for n in range(400)]
+    values = [(n, b"%d" % (n // 4)) for n in range(400)]
+    edges = spans.links(spark.createDataFrame(shared[:-400], "key long, node long"), spark.createDataFrame(values, "node long, value binary"), Same).collect()
+    assert sorted((min(e), max(e)) for e in edges) == [(2 * k, 2 * k + 1) for k in range(200)]
+    every = graph.components(spans.links(spark.createDataFrame(shared, "key long, node long"), spark.createDataFrame(values, "node long, value binary"), Same), "test")
+    assert sorted(map(tuple, every.select("node", "component").collect())) == [(n, n - n % 4) for n in range(400)]
+    near = spans.labelled(spark.createDataFrame(shared, "key long, node long"), near=50)  # dealt again, keys stay whole
+    assert sorted(Counter(r["key"] for r in near.collect()).values()) == [2] * 2400 + [400]
+
+
 def test_visits_leave_the_search_in_pieces_and_cells_find_the_same(spark):
     rng = np.random.default_rng(15)
     x = rng.standard_normal((6_000, 24)).astype(np.float32)
